@@ -1,4 +1,7 @@
-"""Casts that give null for a bad value, with ANSI mode on or off."""
+"""Casts of text columns that give null for a bad value, with ANSI mode on or off.
+
+Tables have dozens of such columns, so each cast is one SQL expression of the column's name.
+"""
 
 from __future__ import annotations
 
@@ -10,32 +13,44 @@ from ledgerloom import fixed_values as fv
 _WITH_FRACTION = r"^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$"
 
 
-def to_int(value: Column) -> Column:
+def quoted(name: str) -> str:
+    return f"`{name}`"
+
+
+def without_suffix(name: str) -> str:
+    """SQL that takes one trailing underscore off; the regex only runs where there is an underscore at all."""
+    c = quoted(name)
+    return f"if(contains({c}, '{fv.PLACEHOLDER}'), regexp_replace({c}, '{fv.PLACEHOLDER}$', ''), {c})"
+
+
+def to_int(name: str) -> Column:
     """Text to int, cutting a fraction off (``12.7`` is 12). The regex only runs where the plain cast failed."""
-    whole = F.regexp_replace(value, _WITH_FRACTION, "$1").try_cast("int")
-    return F.coalesce(value.try_cast("int"), F.when(value.contains("."), whole))
+    c = quoted(name)
+    whole = f"try_cast(regexp_replace({c}, r'{_WITH_FRACTION}', '$1') AS INT)"
+    return F.expr(f"coalesce(try_cast({c} AS INT), if(contains({c}, '.'), {whole}, NULL))")
 
 
-def to_strict_int(value: Column, pattern: str = fv.INTEGER_PATTERN) -> Column:
+def to_strict_int(name: str, pattern: str = fv.INTEGER_PATTERN) -> Column:
     """Text to int only where the whole text has the integer format."""
-    return F.when(value.rlike(pattern), value.try_cast("int"))
+    c = quoted(name)
+    return F.expr(f"if({c} RLIKE r'{pattern}', try_cast({c} AS INT), NULL)")
 
 
-def to_double(value: Column) -> Column:
-    return value.try_cast("double")
+def to_double(name: str, drop_suffix: bool = False) -> Column:
+    return F.expr(f"try_cast({without_suffix(name) if drop_suffix else quoted(name)} AS DOUBLE)")
 
 
-def to_float(value: Column) -> Column:
+def to_float(name: str) -> Column:
     """Text to float32 by way of double, so that it rounds as a numeric column would."""
-    return value.try_cast("double").try_cast("float")
+    return F.expr(f"try_cast(try_cast({quoted(name)} AS DOUBLE) AS FLOAT)")
 
 
-def to_date(value: Column) -> Column:
-    return value.try_cast("date")
+def to_date(name: str) -> Column:
+    return F.col(name).try_cast("date")
 
 
-CASTS = {"string": lambda c: c, "int": to_int, "double": to_double, "float": to_float, "date": to_date}
+CASTS = {"string": F.col, "int": to_int, "double": to_double, "float": to_float, "date": to_date}
 
 
-def cast_to(value: Column, type_name: str) -> Column:
-    return CASTS[type_name](value)
+def cast_to(name: str, type_name: str) -> Column:
+    return CASTS[type_name](name)

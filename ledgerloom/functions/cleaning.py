@@ -13,11 +13,6 @@ def trimmed(key: Column) -> Column:
     return F.trim(key)
 
 
-def without_suffix(text: Column) -> Column:
-    """Take one trailing underscore off; the regex only runs where there is an underscore at all."""
-    return F.when(text.contains(fv.PLACEHOLDER), F.regexp_replace(text, "_$", "")).otherwise(text)
-
-
 def spaced_lower(text: Column) -> Column:
     """Lower case, with every underscore made a space."""
     return F.lower(F.translate(text, fv.PLACEHOLDER, " "))

@@ -24,11 +24,6 @@ def null_outside(value: Column, low, high) -> Column:
     return F.when(value.between(low, high), value)
 
 
-def clip(value: Column, low: Column, high: Column) -> Column:
-    """Value pulled to the nearer bound; null stays null and a null bound does not bind."""
-    return F.when(value.isNotNull(), F.greatest(F.least(value, high), low))
-
-
 def cap(value: Column, top) -> Column:
     return F.when(value > top, F.lit(top)).otherwise(value)
 

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.operators.lookup import BROADCAST_ROWS, lookup_left_join
-from ledgerloom.sources.scratch import materialise
+from ledgerloom.operators.lookup import BROADCAST_ROWS, KeyCounts, lookup_left_join
 
 
 def category_counts(df: DataFrame, column: str) -> DataFrame:
@@ -29,8 +28,9 @@ def group_rare(
     The rare values are counted once and stored; the join is chosen by their measured size. ``salt_by`` names the
     columns that tell rows apart (by default all of them), for the case where that join has to shuffle.
     """
-    counts = category_counts(source if source is not None else df, column)
-    rare = materialise(counts.filter((F.col("rows") < below) & F.col(column).isNotNull()).select(column))
-    marked = lookup_left_join(df, rare.withColumn("_rare", F.lit(True)), [column], salt_by or df.columns, broadcast_rows)
+    counts = KeyCounts.of(source if source is not None else df, [column])
+    rare = counts.table.filter((F.col("_n") < below) & F.col(column).isNotNull())
+    lookup = rare.select(column, F.lit(True).alias("_rare"))
+    marked = lookup_left_join(df, lookup, counts, salt_by or df.columns, broadcast_rows)
     grouped = F.when(F.col("_rare"), fv.OTHER).otherwise(F.col(column))
     return marked.select(*df.columns, grouped.alias(f"{column}_grouped"))

@@ -4,18 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
 def first_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the first by all other columns in their order, nulls first.
 
-    The smallest struct is an ordinary aggregate, so each task keeps one row per key before the shuffle. A key that
-    holds a third of all rows sends a row per task, and the result does not depend on partitioning.
+    For a first-row filter Spark already keeps one row per key in each task before it shuffles, so a key that holds a
+    third of all rows sends a row per task. The result does not depend on partitioning.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    first = df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_first"))
-    return first.select(*[F.col(c) if c in keys else F.col("_first")[c].alias(c) for c in df.columns])
+    rest = [F.col(c).asc_nulls_first() for c in df.columns if c not in keys]
+    in_order = Window.partitionBy(*keys).orderBy(*(rest or keys))
+    return df.withColumn("_position", F.row_number().over(in_order)).filter("_position = 1").drop("_position")

@@ -6,15 +6,15 @@ and only a row per column leaves the aggregate.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.functions.cleaning import without_suffix
+from ledgerloom.functions.casting import quoted, without_suffix
 
 
 @dataclass(frozen=True)
@@ -25,28 +25,30 @@ class FormatRule:
     pattern: str
     allow_suffix: bool = False
 
-    def broken(self) -> Column:
-        """True for a badly formatted value, null for a null one."""
-        text = F.col(self.column)
-        return ~(without_suffix(text) if self.allow_suffix else text).rlike(self.pattern)
+    def broken(self) -> str:
+        """SQL that is true for a badly formatted value and null for a null one."""
+        text = without_suffix(self.column) if self.allow_suffix else quoted(self.column)
+        return f"NOT {text} RLIKE r'{self.pattern}'"
 
 
 def rules_for(columns: Iterable[str], pattern: str, allow_suffix: bool = False) -> list[FormatRule]:
     return [FormatRule(c, pattern, allow_suffix) for c in columns]
 
 
-def _one_row_per_column(df: DataFrame, measures: Mapping[str, Mapping[str, Column]]) -> DataFrame:
-    """Aggregate ``{column: {measure: aggregate}}`` in one pass, then turn the single row into one per column."""
-    aggregates = [
-        F.struct(F.lit(column).alias("column"), *[agg.alias(name) for name, agg in by_name.items()])
-        for column, by_name in measures.items()
-    ]
-    return df.agg(F.array(*aggregates).alias("rows")).select(F.inline("rows"))
+def _one_row_per_column(df: DataFrame, columns: Iterable[str], measures: Callable[[str], Mapping[str, str]]) -> DataFrame:
+    """Aggregate the SQL ``measures`` of every column in one pass, then turn the single row into one per column."""
+
+    def aggregates(column: str) -> str:
+        named = [f"{sql} AS {quoted(name)}" for name, sql in measures(column).items()]
+        return f"struct('{column}' AS `column`, {', '.join(named)})"
+
+    return df.agg(F.expr(f"array({', '.join(map(aggregates, columns))})").alias("rows")).select(F.inline("rows"))
 
 
 def invalid_counts(df: DataFrame, rules: Sequence[FormatRule]) -> DataFrame:
     """(column, invalid): badly formatted values per column; nulls are not counted."""
-    return _one_row_per_column(df, {r.column: {"invalid": F.count_if(r.broken())} for r in rules})
+    broken = {r.column: r.broken() for r in rules}
+    return _one_row_per_column(df, broken, lambda c: {"invalid": f"count_if({broken[c]})"})
 
 
 def invalid_summary(df: DataFrame, rules: Sequence[FormatRule]) -> DataFrame:
@@ -60,21 +62,17 @@ def invalid_samples(df: DataFrame, rules: Sequence[FormatRule], key: str = fv.CU
     Only bad cells are emitted, and the rank filter lets Spark cut each task's rows to ``size`` before it shuffles.
     """
     cells = [
-        F.when(r.broken(), F.struct(F.lit(r.column).alias("column"), F.col(key), F.col(r.column).alias("value")))
+        f"if({r.broken()}, struct('{r.column}' AS `column`, {quoted(key)}, {quoted(r.column)} AS value), NULL)"
         for r in rules
     ]
-    bad = df.select(F.inline(F.array_compact(F.array(*cells))))
-    return (
-        bad.withColumn("position", F.expr(f"row_number() OVER (PARTITION BY `column` ORDER BY `{key}`, value)"))
-        .filter(F.col("position") <= size)
-    )
+    bad = df.select(F.expr(f"inline(array_compact(array({', '.join(cells)})))"))
+    in_order = Window.partitionBy("column").orderBy(key, "value")
+    return bad.withColumn("position", F.row_number().over(in_order)).filter(F.col("position") <= size)
 
 
 def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """(column, nulls)."""
-    return _one_row_per_column(
-        df, {c: {"nulls": F.count_if(F.col(c).isNull())} for c in (columns or df.columns)}
-    )
+    return _one_row_per_column(df, columns or df.columns, lambda c: {"nulls": f"count_if({quoted(c)} IS NULL)"})
 
 
 def null_bearing(df: DataFrame) -> DataFrame:
@@ -92,18 +90,14 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _extreme(function: str, column: str) -> str:
+    return f"CAST({function}({quoted(column)}) AS DOUBLE)"
+
+
 def range_profile(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column, min, max, mean) as doubles."""
     return _one_row_per_column(
-        df,
-        {
-            c: {
-                "min": F.min(c).cast("double"),
-                "max": F.max(c).cast("double"),
-                "mean": F.mean(c),
-            }
-            for c in columns
-        },
+        df, columns, lambda c: {"min": _extreme("min", c), "max": _extreme("max", c), "mean": f"avg({quoted(c)})"}
     )
 
 
@@ -120,19 +114,22 @@ def feature_summary(df: DataFrame, columns: Sequence[str], accuracy: int = 10000
 
     Quartiles come from a mergeable sketch of bounded size, off by at most ``1 / accuracy`` of the rows.
     """
-    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
+    def quantile(c: str, q: float) -> str:
+        return f"CAST(percentile_approx({quoted(c)}, {q}, {accuracy}) AS DOUBLE)"
+
     return _one_row_per_column(
         df,
-        {
-            c: {
-                "count": F.count(c),
-                "mean": F.mean(c),
-                "stddev": F.stddev(c),
-                "min": F.min(c).cast("double"),
-                **{n: F.percentile_approx(c, q, accuracy).cast("double") for n, q in quartiles.items()},
-                "max": F.max(c).cast("double"),
-            }
-            for c in columns
+        columns,
+        lambda c: {
+            "count": f"count({quoted(c)})",
+            "mean": f"avg({quoted(c)})",
+            "stddev": f"stddev({quoted(c)})",
+            "min": _extreme("min", c),
+            "p25": quantile(c, 0.25),
+            "p50": quantile(c, 0.5),
+            "p75": quantile(c, 0.75),
+            "max": _extreme("max", c),
         },
     )
 
@@ -150,12 +147,10 @@ def value_distribution(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     return counts.withColumn("pct", F.expr("100.0D * rows / sum(rows) OVER (PARTITION BY flag)"))
 
 
-def condition_rates(df: DataFrame, conditions: Mapping[str, Column]) -> DataFrame:
-    """(condition, hits, total, rate); the rate of an empty table is null."""
-    rows = _one_row_per_column(
-        df, {n: {"hits": F.count_if(c), "total": F.count(F.lit(1))} for n, c in conditions.items()}
-    )
-    return rows.withColumnRenamed("column", "condition").withColumn("rate", F.expr("try_divide(hits, total)"))
+def flag_rates(df: DataFrame, flags: Sequence[str]) -> DataFrame:
+    """(condition, hits, total, rate) of 0/1 columns; the rate of an empty table is null."""
+    counted = _one_row_per_column(df, flags, lambda c: {"hits": f"count_if({quoted(c)} = 1)", "total": "count(1)"})
+    return counted.withColumnRenamed("column", "condition").withColumn("rate", F.expr("try_divide(hits, total)"))
 
 
 def column_kinds(df: DataFrame, prefix: str = "fe_") -> dict[str, int]:

@@ -6,30 +6,30 @@ operators lazy.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.functions.features import clip, flag, outside
+from ledgerloom.functions.casting import quoted
 
 _STATS = "_stats"
 
 
-def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """One row: ``<column>_mean`` and ``<column>_stddev`` (sample) of every column, in one pass."""
-    return df.agg(
-        *[
-            aggregate(c).alias(f"{c}_{name}")
-            for c in columns
-            for name, aggregate in (("mean", F.mean), ("stddev", F.stddev))
-        ]
+def _one_row(df: DataFrame, aggregates: Iterable[str]) -> DataFrame:
+    return df.agg(F.expr(f"struct({', '.join(aggregates)})").alias(_STATS))
+
+
+def _moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return _one_row(
+        df, [f"avg({quoted(c)}) AS `{c}_mean`, stddev({quoted(c)}) AS `{c}_stddev`" for c in columns]
     )
 
 
-def _with_statistics(df: DataFrame, one_row: DataFrame) -> DataFrame:
-    return df.withColumn(_STATS, one_row.select(F.struct("*")).scalar())
+def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row: ``<column>_mean`` and ``<column>_stddev`` (sample) of every column, in one pass."""
+    return _moments(df, columns).select(f"{_STATS}.*")
 
 
 def clip_sigma(df: DataFrame, columns: Sequence[str], sigmas: float = fv.SIGMAS) -> DataFrame:
@@ -38,24 +38,29 @@ def clip_sigma(df: DataFrame, columns: Sequence[str], sigmas: float = fv.SIGMAS)
     Adds ``<column>_raw`` and ``<column>_is_outlier``. With no spread (one row, or all the same) nothing is flagged.
     The clipped column is always double.
     """
-    with_stats = _with_statistics(df, moments(df, columns))
 
-    def bounds(c: str) -> tuple[Column, Column]:
-        mean = F.col(f"{_STATS}.{c}_mean")
-        reach = F.nullif(F.col(f"{_STATS}.{c}_stddev"), F.lit(0.0)) * sigmas
-        return mean - reach, mean + reach
+    def bound(c: str, sign: str) -> str:
+        return f"({_STATS}.`{c}_mean` {sign} {sigmas}D * nullif({_STATS}.`{c}_stddev`, 0D))"
 
-    limits = {c: bounds(c) for c in columns}
-    kept = [
-        clip(F.col(c).cast("double"), *limits[c]).alias(c) if c in limits else F.col(c) for c in df.columns
-    ]
-    raw = [F.col(c).alias(f"{c}_raw") for c in columns]
-    flags = [flag(outside(F.col(c), *limits[c])).alias(f"{c}_is_outlier") for c in columns]
-    return with_stats.select(*kept, *raw, *flags)
+    def clipped(c: str) -> str:
+        within = f"greatest(least(CAST({quoted(c)} AS DOUBLE), {bound(c, '+')}), {bound(c, '-')})"
+        return f"if({quoted(c)} IS NULL, NULL, {within}) AS {quoted(c)}"
+
+    def flagged(c: str) -> str:
+        within = f"{quoted(c)} BETWEEN {bound(c, '-')} AND {bound(c, '+')}"
+        return f"CAST(NOT coalesce({within}, true) AS INT) AS `{c}_is_outlier`"
+
+    kept = [clipped(c) if c in columns else quoted(c) for c in df.columns]
+    raw = [f"{quoted(c)} AS `{c}_raw`" for c in columns]
+    with_stats = df.withColumn(_STATS, _moments(df, columns).scalar())
+    return with_stats.selectExpr(*kept, *raw, *map(flagged, columns))
 
 
 def impute_mean(df: DataFrame, columns: Sequence[str], source: DataFrame | None = None) -> DataFrame:
     """Fill nulls with the column mean of ``source`` (by default the table itself). Filled columns are double."""
-    means = (source if source is not None else df).agg(*[F.mean(c).alias(c) for c in columns])
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col(f"{_STATS}.{c}")) for c in columns}
-    return _with_statistics(df, means).withColumns(filled).drop(_STATS)
+    means = _one_row(source if source is not None else df, [f"avg({quoted(c)}) AS {quoted(c)}" for c in columns])
+    filled = [
+        f"coalesce(CAST({quoted(c)} AS DOUBLE), {_STATS}.{quoted(c)}) AS {quoted(c)}" if c in columns else quoted(c)
+        for c in df.columns
+    ]
+    return df.withColumn(_STATS, means.scalar()).selectExpr(*filled)

@@ -82,7 +82,7 @@ def financials(
 def financial_rates(silver: DataFrame, caps: dict[str, float] | None = None) -> DataFrame:
     """(condition, hits, total, rate) of capped, missing and unknown values among all silver rows."""
     by_flag = {**outlier_flags(caps or fv.FINANCIAL_CAPS), **missing_flags(), **unknown_flags()}
-    return quality.condition_rates(silver, {name: value == 1 for name, value in by_flag.items()})
+    return quality.flag_rates(silver.withColumns(by_flag), list(by_flag))
 
 
 def loan_features(silver: DataFrame) -> DataFrame:

@@ -17,18 +17,18 @@ from ledgerloom.operators.quality import FormatRule, rules_for
 
 def clickstream(raw: DataFrame) -> DataFrame:
     return raw.select(
-        *[casting.to_int(F.col(c)).alias(c) for c in fv.CLICK_FEATURES],
+        *[casting.to_int(c).alias(c) for c in fv.CLICK_FEATURES],
         cleaning.trimmed(F.col(fv.CUSTOMER)).alias(fv.CUSTOMER),
-        casting.to_date(F.col(fv.SNAPSHOT)).alias(fv.SNAPSHOT),
+        casting.to_date(fv.SNAPSHOT).alias(fv.SNAPSHOT),
     )
 
 
 def attributes(raw: DataFrame) -> DataFrame:
     return raw.select(
         cleaning.trimmed(F.col(fv.CUSTOMER)).alias(fv.CUSTOMER),
-        casting.to_strict_int(F.col("Age")).alias("Age"),
+        casting.to_strict_int("Age").alias("Age"),
         cleaning.occupation(F.col("Occupation")).alias("Occupation"),
-        casting.to_date(F.col(fv.SNAPSHOT)).alias(fv.SNAPSHOT),
+        casting.to_date(fv.SNAPSHOT).alias(fv.SNAPSHOT),
     )
 
 
@@ -36,13 +36,13 @@ def financials(raw: DataFrame) -> DataFrame:
     """Columns that are not known here pass through as they are."""
     typed = {
         fv.CUSTOMER: cleaning.trimmed(F.col(fv.CUSTOMER)),
-        **{c: casting.to_double(cleaning.without_suffix(F.col(c))) for c in fv.FINANCIAL_AMOUNTS},
-        **{c: casting.to_int(F.col(c)) for c in fv.FINANCIAL_COUNTS},
+        **{c: casting.to_double(c, drop_suffix=True) for c in fv.FINANCIAL_AMOUNTS},
+        **{c: casting.to_int(c) for c in fv.FINANCIAL_COUNTS},
         "Credit_Mix": cleaning.credit_mix(F.col("Credit_Mix")),
         "Payment_Behaviour": cleaning.payment_behaviour(F.col("Payment_Behaviour")),
         "Type_of_Loan": cleaning.loan_type(F.col("Type_of_Loan")),
         "Payment_of_Min_Amount": cleaning.min_payment(F.col("Payment_of_Min_Amount")),
-        fv.SNAPSHOT: casting.to_date(F.col(fv.SNAPSHOT)),
+        fv.SNAPSHOT: casting.to_date(fv.SNAPSHOT),
         "Credit_History_Months": cleaning.credit_history_months(F.col("Credit_History_Age")),
     }
     return raw.withColumns(typed)
@@ -51,9 +51,9 @@ def financials(raw: DataFrame) -> DataFrame:
 def loan_daily(raw: DataFrame) -> DataFrame:
     typed = {
         fv.CUSTOMER: cleaning.trimmed(F.col(fv.CUSTOMER)),
-        **{c: casting.to_date(F.col(c)) for c in fv.LOAN_DATES},
-        **{c: casting.to_int(F.col(c)) for c in fv.LOAN_COUNTS},
-        **{c: casting.to_double(F.col(c)) for c in fv.LOAN_AMOUNTS},
+        **{c: casting.to_date(c) for c in fv.LOAN_DATES},
+        **{c: casting.to_int(c) for c in fv.LOAN_COUNTS},
+        **{c: casting.to_double(c) for c in fv.LOAN_AMOUNTS},
     }
     return raw.select(*[typed.get(c, F.col(c)).alias(c) for c in fv.LOAN_COLUMNS])
 

@@ -20,7 +20,7 @@ def quoted(name: str) -> str:
 def without_suffix(name: str) -> str:
     """SQL that takes one trailing underscore off; the regex only runs where there is an underscore at all."""
     c = quoted(name)
-    return f"if(contains({c}, '{fv.PLACEHOLDER}'), regexp_replace({c}, '{fv.PLACEHOLDER}$', ''), {c})"
+    return f"if(contains({c}, '_'), regexp_replace({c}, '_$', ''), {c})"
 
 
 def to_int(name: str) -> Column:
@@ -37,7 +37,10 @@ def to_strict_int(name: str, pattern: str = fv.INTEGER_PATTERN) -> Column:
 
 
 def to_double(name: str, drop_suffix: bool = False) -> Column:
-    return F.expr(f"try_cast({without_suffix(name) if drop_suffix else quoted(name)} AS DOUBLE)")
+    """Text to double. Text that keeps an underscore after its suffix is no number and is not even tried."""
+    c = quoted(name)
+    number = f"if(contains({c}, '_'), nullif(regexp_extract({c}, '^([^_]*)_$', 1), ''), {c})" if drop_suffix else c
+    return F.expr(f"try_cast({number} AS DOUBLE)")
 
 
 def to_float(name: str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.operators.lookup import BROADCAST_ROWS, KeyCounts, lookup_left_join
+from ledgerloom.operators.lookup import BROADCAST_ROWS, KeyCounts, left_join_unique
 
 
 def category_counts(df: DataFrame, column: str) -> DataFrame:
@@ -31,6 +31,9 @@ def group_rare(
     counts = KeyCounts.of(source if source is not None else df, [column])
     rare = counts.table.filter((F.col("_n") < below) & F.col(column).isNotNull())
     lookup = rare.select(column, F.lit(True).alias("_rare"))
-    marked = lookup_left_join(df, lookup, counts, salt_by or df.columns, broadcast_rows)
+    if counts.fit_broadcast(broadcast_rows):
+        marked = df.join(F.broadcast(lookup), [column], "left")
+    else:
+        marked = left_join_unique(df, lookup, counts, salt_by or df.columns)
     grouped = F.when(F.col("_rare"), fv.OTHER).otherwise(F.col(column))
     return marked.select(*df.columns, grouped.alias(f"{column}_grouped"))

@@ -42,16 +42,17 @@ def overwrite_snapshots(
 
     ``gather`` brings the rows of a snapshot together first where the input is not laid out by snapshot yet: it keeps
     each task from opening a file per snapshot, and the rebalance splits a snapshot that holds most of the rows.
-    Snapshots named in ``dates`` that have no rows any more are removed.
+    Snapshots named in ``dates`` that have no rows any more, so that their old files are still there, are removed.
     """
     spark = df.sparkSession
+    days = {day: f"{path}/{fv.SNAPSHOT}={day}" for day in map(str, dates or ())}
+    before = {day: folders.files(spark, folder) for day, folder in days.items()}
     laid_out = df.hint("rebalance", fv.SNAPSHOT) if gather else df
     writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(fv.SNAPSHOT).parquet(path)
-    if dates is not None:
-        written = at_snapshot(df, *dates).select(fv.SNAPSHOT).distinct().collect()
-        for day in {str(d) for d in dates} - {str(r[0]) for r in written}:
-            folders.delete(spark, f"{path}/{fv.SNAPSHOT}={day}")
+    for day, folder in days.items():
+        if before[day] & folders.files(spark, folder):
+            folders.delete(spark, folder)
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

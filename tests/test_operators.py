@@ -1,0 +1,163 @@
+import datetime as dt
+import random
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerloom.operators import lookup, quality
+from ledgerloom.operators.categories import group_rare
+from ledgerloom.operators.dedup import first_per_key
+from ledgerloom.operators.months import missing_months, months_between
+from ledgerloom.operators.statistics import clip_sigma, impute_mean, moments
+
+D = dt.date
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_invalid_counts_ignore_nulls(spark):
+    df = spark.createDataFrame([("1", "1.5_"), ("x", "-1"), (None, None)], "a string, b string")
+    rules = quality.rules_for(["a"], r"^-?\d+$") + quality.rules_for(["b"], r"^[0-9]+(\.[0-9]+)?$", True)
+    assert rows(quality.invalid_counts(df, rules)) == [("a", 1), ("b", 1)]
+    assert rows(quality.invalid_summary(df.filter("b != '-1'"), rules)) == []
+
+
+def test_invalid_samples_keep_the_first_three(spark):
+    df = spark.createDataFrame([(f"C{i}", "x", "7") for i in range(9)], "Customer_ID string, a string, b string")
+    rules = quality.rules_for(["a", "b"], r"^-?\d+$")
+    assert rows(quality.invalid_samples(df, rules)) == [("a", f"C{i}", "x", i + 1) for i in range(3)]
+
+
+def test_null_key_counts_as_a_value(spark):
+    df = spark.createDataFrame([(None, 1), (None, 1), ("a", 1)], "k string, d int")
+    assert rows(quality.duplicate_keys(df, ["k", "d"])) == [(3, 2, 1)]
+    assert rows(quality.duplicate_keys(df.limit(0), ["k", "d"])) == [(0, 0, 0)]
+
+
+@pytest.mark.parametrize(
+    "days, missing",
+    [
+        ([(2023, 1, 1), (2023, 3, 1), (2023, 6, 1)], [(2023, 2, 1), (2023, 4, 1), (2023, 5, 1)]),
+        ([(2023, 1, 15), (2023, 2, 20)], [(2023, 2, 1)]),
+        ([(2023, 1, 15), (2023, 1, 20)], []),
+        ([(2023, 1, 1)], []),
+        ([], []),
+    ],
+)
+def test_missing_months(either_ansi, spark, days, missing):
+    df = spark.createDataFrame([(D(*d),) for d in days] + [(None,)], "snapshot_date date")
+    assert rows(missing_months(df)) == [(D(*m),) for m in missing]
+
+
+def test_month_sequence_starts_at_the_month(spark):
+    bounds = spark.createDataFrame([(D(2023, 11, 20), D(2024, 1, 31))], "a date, b date")
+    assert rows(months_between(bounds, "a", "b")) == [(D(2023, 11, 1),), (D(2023, 12, 1),), (D(2024, 1, 1),)]
+    assert rows(months_between(bounds.selectExpr("b AS a", "a AS b"), "a", "b")) == []
+
+
+def test_sigma_clip(spark):
+    values = [0] * 50 + [1] * 50 + [1000]
+    df = spark.createDataFrame([(v, 7) for v in values] + [(None, 7)], "x int, same int")
+    mean, sd = moments(df, ["x"]).first()
+    got = clip_sigma(df, ["x", "same"]).collect()
+    assert {r["same"] for r in got} == {7.0} and {r["same_is_outlier"] for r in got} == {0}
+    by_raw = {r["x_raw"]: (r["x"], r["x_is_outlier"]) for r in got}
+    assert by_raw == {0: (0.0, 0), 1: (1.0, 0), 1000: (mean + 3 * sd, 1), None: (None, 0)}
+
+
+def test_sigma_clip_without_spread(either_ansi, spark):
+    one = spark.createDataFrame([(5,)], "x int")
+    assert rows(clip_sigma(one, ["x"])) == [(5.0, 5, 0)]
+    assert rows(clip_sigma(one.limit(0), ["x"])) == []
+
+
+def test_impute_mean(spark):
+    df = spark.createDataFrame([(1,), (None,), (4,)], "x int")
+    assert rows(impute_mean(df, ["x"])) == [(1.0,), (2.5,), (4.0,)]
+
+
+@pytest.mark.parametrize("broadcast_rows", [100_000, 0], ids=["broadcast", "shuffle"])
+def test_rare_groups(spark, monkeypatch, broadcast_rows):
+    monkeypatch.setattr(lookup.KeyCounts.has_hot_keys, "__defaults__", (256, 10))
+    monkeypatch.setattr(lookup.KeyCounts.hot_keys, "__defaults__", (256, 10))
+    values = ["often"] * 120 + ["seldom"] * 99 + [None] * 5
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+    got = Counter(r["v_grouped"] for r in group_rare(df, "v", broadcast_rows=broadcast_rows).collect())
+    assert got == {"often": 120, "other": 99, None: 5}
+
+
+def test_dedup_is_the_same_for_any_partitioning(spark):
+    rng = random.Random(1)
+    data = [(rng.choice("ab"), rng.choice([None, 1]), rng.choice([None, 1.0, 2.0]), rng.choice("xyz")) for _ in range(200)]
+    df = spark.createDataFrame(data, "k string, d int, p double, q string")
+    expected = {}
+    for k, d, p, q in data:
+        rank = (p is not None, p or 0, q)
+        if (k, d) not in expected or rank < expected[k, d][0]:
+            expected[k, d] = (rank, (k, d, p, q))
+    wanted = sorted((v[1] for v in expected.values()), key=repr)
+    for parts in (1, 3, 16):
+        assert rows(first_per_key(df.repartition(parts), ["k", "d"])) == wanted
+
+
+def test_hot_keys_are_salted_and_nothing_is_lost(spark):
+    n = 9000
+    left = spark.range(0, n, 1, 8).selectExpr("CASE WHEN id % 3 = 0 THEN NULL WHEN id % 3 = 1 THEN 7 ELSE id END AS k", "id")
+    left = left.unionAll(left.filter("k = 7").limit(100))
+    right = spark.range(n).selectExpr("id AS k", "id * 10 AS v").filter("k % 2 = 1")
+    counts = lookup.KeyCounts.of(left, ["k"])
+    assert (counts.rows, counts.largest) == (n + 100, 3100)
+    plain = rows(left.join(right, ["k"], "left"))
+
+    class Low(lookup.KeyCounts):
+        def has_hot_keys(self, share=256, rows=1000):
+            return super().has_hot_keys(share, rows)
+
+        def hot_keys(self, share=256, rows=1000):
+            return super().hot_keys(share, rows)
+
+    low = Low(**{f: getattr(counts, f) for f in counts.__dataclass_fields__})
+    assert low.has_hot_keys() and low.hot_keys().count() == 2 and not counts.has_hot_keys()
+    salted = lookup.left_join_unique(left, right, low, salt_by=["id"])
+    assert rows(salted.select("k", "id", "v")) == plain
+    per_task = Counter(r[0] for r in salted.filter("k = 7").select(F.pmod(F.xxhash64("id"), F.lit(256))).collect())
+    assert len(per_task) > 200
+
+
+def test_hot_keys_are_bounded_by_their_share(spark):
+    df = spark.range(100).selectExpr("id % 10 AS k")
+    counts = lookup.KeyCounts.of(df, ["k"])
+    assert counts.hot_keys(share=10, rows=1).count() == 10
+    assert counts.hot_keys(share=9, rows=1).count() == 0
+    assert not lookup.KeyCounts.of(df.limit(0), ["k"]).has_hot_keys()
+
+
+def test_broadcast_needs_few_and_short_keys(spark):
+    counts = lookup.KeyCounts.of(spark.createDataFrame([("x" * 1000,), ("y",)], "k string"), ["k"])
+    assert counts.bytes == 1001 and counts.fit_broadcast()
+    assert not counts.fit_broadcast(rows=1) and not counts.fit_broadcast(size=1000)
+
+
+def test_distribution_and_rates(spark):
+    df = spark.createDataFrame([(1, 0), (1, 1), (0, 0), (1, 0)], "a int, b int")
+    assert rows(quality.value_distribution(df, ["a", "b"])) == [
+        ("a", 0, 1, 25.0),
+        ("a", 1, 3, 75.0),
+        ("b", 0, 3, 75.0),
+        ("b", 1, 1, 25.0),
+    ]
+    assert rows(quality.flag_rates(df, ["a"])) == [("a", 3, 4, 0.75)]
+    assert rows(quality.flag_rates(df.limit(0), ["a"])) == [("a", 0, 0, None)]
+
+
+def test_quartiles_are_within_the_stated_rank_error(spark):
+    rng = random.Random(2)
+    values = sorted(rng.random() for _ in range(5000))
+    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
+    row = quality.feature_summary(df, ["x"], accuracy=200).first()
+    for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
+        rank = values.index(row[name])
+        assert abs(rank - q * len(values)) <= len(values) / 200 + 1

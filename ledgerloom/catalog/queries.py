@@ -180,29 +180,24 @@ def loan_flag_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(quality.value_distribution(gold_loan(spark, sf_dir), fv.LOAN_FLAGS), "pct")
 
 
-def _summary(df: DataFrame, columns, *measures: str) -> DataFrame:
-    summary = quality.feature_summary(df, columns)
-    return rounded(summary.select("column", *measures), *[m for m in measures if m != "count"])
-
-
-EXACT_MEASURES = ("count", "mean", "stddev", "min", "max")
-QUARTILES = ("p25", "p50", "p75")
+MOMENTS = ("mean", "stddev", "min", "max")
 
 
 def feature_summary_fin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(gold_table(spark, sf_dir, "financials"), fv.FINANCIAL_SUMMARY_COLUMNS, *EXACT_MEASURES)
+    table = gold_table(spark, sf_dir, "financials")
+    return rounded(quality.feature_moments(table, fv.FINANCIAL_SUMMARY_COLUMNS), *MOMENTS)
 
 
 def feature_summary_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS, *EXACT_MEASURES)
+    return rounded(quality.feature_moments(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS), *MOMENTS)
 
 
 def feature_quartiles_fin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(gold_table(spark, sf_dir, "financials"), fv.FINANCIAL_SUMMARY_COLUMNS, *QUARTILES)
+    return quality.feature_quartiles(gold_table(spark, sf_dir, "financials"), fv.FINANCIAL_SUMMARY_COLUMNS)
 
 
 def feature_quartiles_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _summary(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS, *QUARTILES)
+    return quality.feature_quartiles(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS)
 
 
 # Training table

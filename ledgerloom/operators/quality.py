@@ -16,6 +16,10 @@ from pyspark.sql import types as T
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions.casting import quoted, without_suffix
 
+QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+SKETCH_SIZE = 4096
+SKETCH_GROUPS = 256
+
 
 @dataclass(frozen=True)
 class FormatRule:
@@ -109,15 +113,8 @@ def numeric_columns(df: DataFrame, but: Sequence[str] = ()) -> list[str]:
     ]
 
 
-def feature_summary(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """(column, count, mean, stddev, min, p25, p50, p75, max).
-
-    Quartiles come from a mergeable sketch of bounded size, off by at most ``1 / accuracy`` of the rows.
-    """
-
-    def quantile(c: str, q: float) -> str:
-        return f"CAST(percentile_approx({quoted(c)}, {q}, {accuracy}) AS DOUBLE)"
-
+def feature_moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, count, mean, stddev, min, max)."""
     return _one_row_per_column(
         df,
         columns,
@@ -126,14 +123,41 @@ def feature_summary(df: DataFrame, columns: Sequence[str], accuracy: int = 10000
             "mean": f"avg({quoted(c)})",
             "stddev": f"stddev({quoted(c)})",
             "min": _extreme("min", c),
-            "p25": quantile(c, 0.25),
-            "p50": quantile(c, 0.5),
-            "p75": quantile(c, 0.75),
             "max": _extreme("max", c),
         },
     )
 
 
+def feature_quartiles(df: DataFrame, columns: Sequence[str], k: int = SKETCH_SIZE) -> DataFrame:
+    """(column, p25, p50, p75) from mergeable sketches, off by about ``2.4 / k ** 0.94`` of the rows.
+
+    Each task makes a sketch per column. They are merged in SKETCH_GROUPS groups first, so that the last task gets that
+    many sketches and not one from every task.
+    """
+
+    def of_all(make: Callable[[str], str]) -> list[str]:
+        return [f"{make(quoted(c))} AS {quoted(c)}" for c in columns]
+
+    def quantile(c: str, q: float) -> str:
+        return f"if(kll_sketch_get_n_double({c}) > 0, kll_sketch_get_quantile_double({c}, {q}D), NULL)"
+
+    def measured(c: str) -> str:
+        names = ", ".join(f"{quantile(quoted(c), q)} AS {name}" for name, q in QUARTILES.items())
+        return f"struct('{c}' AS `column`, {names})"
+
+    grouped = df.selectExpr(*of_all(lambda c: f"CAST({c} AS DOUBLE)")).groupBy(
+        F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group")
+    )
+    partial = grouped.agg(*map(F.expr, of_all(lambda c: f"kll_sketch_agg_double({c}, {k})")))
+    whole = partial.agg(*map(F.expr, of_all(lambda c: f"kll_merge_agg_double({c}, {k})")))
+    return whole.selectExpr(f"inline(array({', '.join(map(measured, columns))}))")
+
+
+def feature_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """(column, count, mean, stddev, min, max, p25, p50, p75): a row per feature."""
+    return feature_moments(df, columns).join(feature_quartiles(df, columns), "column")
+
+
 def flag_totals(df: DataFrame, flags: Sequence[str]) -> DataFrame:
     """One row with the sum of every flag."""
     return df.agg(*[F.sum(f).alias(f) for f in flags])

@@ -155,9 +155,12 @@ def test_distribution_and_rates(spark):
 
 def test_quartiles_are_within_the_stated_rank_error(spark):
     rng = random.Random(2)
-    values = sorted(rng.random() for _ in range(5000))
-    df = spark.createDataFrame([(v,) for v in values], "x double").repartition(7)
-    row = quality.feature_summary(df, ["x"], accuracy=200).first()
-    for name, q in (("p25", 0.25), ("p50", 0.5), ("p75", 0.75)):
-        rank = values.index(row[name])
-        assert abs(rank - q * len(values)) <= len(values) / 200 + 1
+    values = sorted(rng.random() for _ in range(50_000))
+    df = spark.createDataFrame([(v, None) for v in values], "x double, nothing double").repartition(7)
+    got = {r["column"]: r for r in quality.feature_summary(df, ["x", "nothing"]).collect()}
+    for name, q in quality.QUARTILES.items():
+        assert abs(values.index(got["x"][name]) / len(values) - q) < 0.003
+    assert (got["x"]["count"], got["x"]["min"], got["x"]["max"]) == (50_000, values[0], values[-1])
+    assert got["nothing"]["count"] == 0 and got["nothing"]["p50"] is None and got["nothing"]["max"] is None
+    empty = {r["column"]: r for r in quality.feature_summary(df.limit(0), ["x"]).collect()}
+    assert empty["x"]["p25"] is None and empty["x"]["count"] == 0

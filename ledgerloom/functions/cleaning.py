@@ -58,6 +58,7 @@ def credit_history_months(text: Column) -> Column:
     """``22 Years and 9 Months`` as 273. A part that is not there counts 0; placeholders give null."""
 
     def part(pattern: str) -> Column:
-        return F.coalesce(F.regexp_extract(text, pattern, 1).try_cast("int"), F.lit(0))
+        return F.coalesce(F.regexp_extract(text, pattern, 1).try_cast("bigint"), F.lit(0))
 
-    return F.when(~is_placeholder(text), part(fv.YEARS_PATTERN) * 12 + part(fv.MONTHS_PATTERN))
+    months = F.try_add(F.try_multiply(part(fv.YEARS_PATTERN), F.lit(12)), part(fv.MONTHS_PATTERN))
+    return F.when(~is_placeholder(text), months.try_cast("int"))

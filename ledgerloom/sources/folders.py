@@ -25,13 +25,6 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
-def files(spark: SparkSession, path: str) -> set[str]:
-    """Names of the data files in a folder."""
-    fs, target = _file_system(spark, path)
-    listed = fs.listStatus(target) if fs.exists(target) else []
-    return {s.getPath().getName() for s in listed if s.isFile() and s.getPath().getName()[0] not in "_."}
-
-
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the data folders in a folder; hidden and temporary ones are left out."""
     fs, target = _file_system(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -42,17 +42,14 @@ def overwrite_snapshots(
 
     ``gather`` brings the rows of a snapshot together first where the input is not laid out by snapshot yet: it keeps
     each task from opening a file per snapshot, and the rebalance splits a snapshot that holds most of the rows.
-    Snapshots named in ``dates`` that have no rows any more, so that their old files are still there, are removed.
+    Snapshots named in ``dates`` that have no rows any more are removed; which ones were written is noted on the way.
     """
-    spark = df.sparkSession
-    days = {day: f"{path}/{fv.SNAPSHOT}={day}" for day in map(str, dates or ())}
-    before = {day: folders.files(spark, folder) for day, folder in days.items()}
+    written = Observation()
     laid_out = df.hint("rebalance", fv.SNAPSHOT) if gather else df
-    writer = laid_out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(fv.SNAPSHOT).parquet(path)
-    for day, folder in days.items():
-        if before[day] & folders.files(spark, folder):
-            folders.delete(spark, folder)
+    noted = laid_out.observe(written, F.collect_set(fv.SNAPSHOT).alias("days"))
+    noted.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(fv.SNAPSHOT).parquet(path)
+    for day in {str(d) for d in dates or ()} - {str(d) for d in written.get["days"]}:
+        folders.delete(df.sparkSession, f"{path}/{fv.SNAPSHOT}={day}")
 
 
 def read_snapshots(spark: SparkSession, path: str, schema: StructType | str | None = None) -> DataFrame:

@@ -60,8 +60,8 @@ def test_key_trim_takes_spaces_only(column):
         ),
         (
             cleaning.credit_history_months,
-            ["22 Years and 9 Months", "1 Year and 1 Month", "5 Years", "7Months", "NA", "_", "", None, "3 years"],
-            [273, 13, 60, 7, 0, None, None, None, 0],
+            ["22 Years and 9 Months", "1 Year and 1 Month", "5 Years", "7Months", "NA", "_", "", None, "3 years", "999999999 Years", "9" * 30 + " Years"],
+            [273, 13, 60, 7, 0, None, None, None, 0, None, 0],
         ),
     ],
 )
@@ -107,3 +107,10 @@ def test_days_past_due(either_ansi, spark):
     days = repayment.days_past_due(F.col("s"), first, F.col("o"))
     got = df.select(missed, first, days, repayment.default_label(days, 30)).collect()
     assert [tuple(r) for r in got] == [(1, D(2023, 2, 28), 31, 1), (0, None, 0, 0), (0, None, None, 0)]
+
+
+def test_absurd_arrears_do_not_fail(either_ansi, spark):
+    df = spark.sql("SELECT DATE'2023-01-01' AS s, 1e6D AS o, 0.01D AS d")
+    missed = repayment.installments_missed(F.col("o"), F.col("d"))
+    days = repayment.days_past_due(F.col("s"), repayment.first_missed_date(F.col("s"), missed), F.col("o"))
+    assert df.select(days > 30).first()[0]

@@ -387,6 +387,8 @@ def all_sql() -> dict[str, str]:
     ]
     found |= {
         "dup_loan_snapshots": _duplicates("silver_loan", fv.LOAN_KEY),
+        "snapshot_slice": """SELECT * REPLACE (TRY_CAST(snapshot_date AS DATE) AS snapshot_date) FROM raw_loan
+            WHERE TRY_CAST(snapshot_date AS DATE) = (SELECT max(snapshot_date) FROM silver_loan)""",
         "label_silver": "SELECT * FROM lms_silver",
         "label_store": "SELECT * FROM labels_30_6",
         "label_store_strict": _labels(60, 4),

@@ -54,6 +54,12 @@ def loan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Labels
 
 
+def snapshot_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loans of the latest snapshot."""
+    dated = labels.label_bronze(raw_table(spark, sf_dir, "loan_daily"))
+    return tables.at_snapshot(dated, dated.agg(F.max(fv.SNAPSHOT)).first()[0])
+
+
 def label_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.label_silver(labels.label_bronze(raw_table(spark, sf_dir, "loan_daily")))
 
@@ -311,6 +317,7 @@ def _per_table() -> dict[str, Query]:
 
 def all_queries() -> dict[str, Query]:
     single = [
+        snapshot_slice,
         label_silver,
         label_store,
         label_store_strict,

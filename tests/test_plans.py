@@ -98,6 +98,13 @@ def test_a_rerun_replaces_only_its_snapshots(spark, loan_csv, tmp_path):
     assert rows(nothing) == []
 
 
+def test_bronze_step_alone(spark, loan_csv, tmp_path):
+    source = loan_csv(loan_line("A_1", "2023-07-01", 6), loan_line("B_1", "2023-08-01", 6))
+    stored = labels.write_bronze(spark, source, str(tmp_path / "mart"), ["2023-08-01"])
+    assert [(r["loan_id"], r["due_amt"], r[fv.SNAPSHOT]) for r in stored.collect()] == [("B_1", "100.0", D(2023, 8, 1))]
+    assert folders.subfolders(spark, str(tmp_path / "mart" / "bronze" / "lms")) == ["snapshot_date=2023-08-01"]
+
+
 def test_default_snapshot_dates(spark):
     dates = labels.snapshot_dates(spark)
     assert len(dates) == 24 and dates[0] == "2023-01-01" and dates[-1] == "2024-12-01"

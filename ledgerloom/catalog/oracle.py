@@ -78,9 +78,8 @@ SILVER_COLUMNS = {
             ELSE Payment_of_Min_Amount END""",
         "snapshot_date": _date("snapshot_date"),
         "Credit_History_Months": r"""CASE WHEN Credit_History_Age IS NULL OR Credit_History_Age IN ('', '_') THEN NULL
-            ELSE CAST(12 * coalesce(TRY_CAST(nullif(regexp_extract(Credit_History_Age, '(\d+)\s*Years?', 1), '') AS INTEGER), 0)
-              + coalesce(TRY_CAST(nullif(regexp_extract(Credit_History_Age, '(\d+)\s*Months?', 1), '') AS INTEGER), 0)
-              AS INTEGER) END""",
+            ELSE 12 * coalesce(TRY_CAST(regexp_extract(Credit_History_Age, '(\d+)\s*Years?', 1) AS INTEGER), 0)
+              + coalesce(TRY_CAST(regexp_extract(Credit_History_Age, '(\d+)\s*Months?', 1) AS INTEGER), 0) END""",
     },
     "loan": {
         "loan_id": "loan_id",
@@ -214,8 +213,8 @@ _RELATIONS["categories"] = (
 _RELATIONS["means"] = f"SELECT {_columns(*[f'avg({c}) AS mean_{c}' for c in _IMPUTED])} FROM features_fin"
 _FILL = [f"round(coalesce(CAST({c} AS DOUBLE), mean_{c}), 6) AS {c}" for c in _IMPUTED]
 _GROUPED = "CASE WHEN c.n < 100 THEN 'other' ELSE f.Payment_Behaviour END AS Payment_Behaviour_grouped"
-_RELATIONS["gold_fin"] = f"""SELECT f.* REPLACE ({', '.join(f'coalesce(CAST(f.{c} AS DOUBLE), mean_{c}) AS {c}' for c in _IMPUTED)}),
-  {_GROUPED}
+_IMPUTE = ", ".join(f"coalesce(CAST(f.{c} AS DOUBLE), mean_{c}) AS {c}" for c in _IMPUTED)
+_RELATIONS["gold_fin"] = f"""SELECT f.* REPLACE ({_IMPUTE}), {_GROUPED}
 FROM features_first_fin f LEFT JOIN categories c USING (Payment_Behaviour), means"""
 
 # Gold: loans
@@ -285,7 +284,7 @@ def _training(as_of: bool, shift: int) -> str:
     joins, columns, parts = [], [], []
     for short, name in SHORT.items():
         keys = ("loan_id", "Customer_ID") if short == "loan" else ("Customer_ID",)
-        date = f"CAST(snapshot_date - INTERVAL {shift} MONTH AS DATE)" if short in ("click", "attr") else "snapshot_date"
+        date = f"CAST(snapshot_date - INTERVAL {shift if short in ('click', 'attr') else 0} MONTH AS DATE)"
         kept = [*keys, "day", *_FEATURES[short]]
         moved = f"(SELECT * EXCLUDE (snapshot_date), {date} AS day FROM gold_{short})"
         parts.append(f"t_{short} AS ({_first(moved, (*keys, 'day'), kept)})")
@@ -394,7 +393,8 @@ def all_sql() -> dict[str, str]:
         "label_store_strict": _labels(60, 4),
         "label_rate_by_snapshot": """SELECT snapshot_date, label_def, count(*) AS loans,
             CAST(sum(label) AS BIGINT) AS defaults FROM labels_30_6 GROUP BY ALL""",
-        "month_sequence": """SELECT CAST(unnest(generate_series(CAST(date_trunc('month', min(loan_start_date)) AS TIMESTAMP),
+        "month_sequence": """SELECT CAST(unnest(generate_series(
+            CAST(date_trunc('month', min(loan_start_date)) AS TIMESTAMP),
             CAST(max(loan_start_date) AS TIMESTAMP), INTERVAL 1 MONTH)) AS DATE) AS snapshot_date FROM silver_loan""",
         "fin_caps": f"SELECT {keys}, {caps} FROM features_fin",
         "fin_flags": f"SELECT {keys}, {flags} FROM features_fin",
@@ -441,7 +441,8 @@ def all_sql() -> dict[str, str]:
         ),
         "loan_flag_distribution": _union(
             f"""SELECT '{c}' AS flag, {c} AS value, count(*) AS rows,
-              round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM gold_loan), 6) AS pct FROM gold_loan GROUP BY {c}"""
+              round(100.0::DOUBLE * count(*) / (SELECT count(*) FROM gold_loan), 6) AS pct
+              FROM gold_loan GROUP BY {c}"""
             for c in fv.LOAN_FLAGS
         ),
         "feature_summary_fin": _summary("gold_fin", fv.FINANCIAL_SUMMARY_COLUMNS),
@@ -453,7 +454,7 @@ def all_sql() -> dict[str, str]:
             'kept' AS status FROM labels_30_6 GROUP BY snapshot_date
             UNION ALL SELECT * FROM (VALUES ('snapshot_date=1900-01-01', 0, 'deleted'),
               ('snapshot_date=1900-02-01', 0, 'deleted'))""",
-        "pipeline_run": _training(as_of=False, shift=0),
+        "full_run": _training(as_of=False, shift=0),
     }
     return {name: _with_merged(sql) for name, sql in found.items()}
 

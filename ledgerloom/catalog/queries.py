@@ -277,7 +277,7 @@ def prune_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folders.prune_empty_folders(spark, root)
 
 
-def pipeline_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages from CSV files to the stored training table."""
     source, root = _raw_folder(spark, sf_dir, *RAW_TABLES), scratch_folder(spark, "run")
     stages = ("run_bronze", "run_silver", "run_gold", "run_label", "run_label_cleanup", "run_join")
@@ -351,7 +351,7 @@ def all_queries() -> dict[str, Query]:
         training_as_of,
         label_snapshots,
         prune_empty,
-        pipeline_run,
+        full_run,
     ]
     loan_keys: Query = lambda spark, sf_dir: quality.duplicate_keys(loan_silver(spark, sf_dir), fv.LOAN_KEY)
     return {**_per_table(), "dup_loan_snapshots": loan_keys, **{q.__name__: q for q in single}}

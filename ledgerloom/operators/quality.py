@@ -39,7 +39,9 @@ def rules_for(columns: Iterable[str], pattern: str, allow_suffix: bool = False)
     return [FormatRule(c, pattern, allow_suffix) for c in columns]
 
 
-def _one_row_per_column(df: DataFrame, columns: Iterable[str], measures: Callable[[str], Mapping[str, str]]) -> DataFrame:
+def _one_row_per_column(
+    df: DataFrame, columns: Iterable[str], measures: Callable[[str], Mapping[str, str]]
+) -> DataFrame:
     """Aggregate the SQL ``measures`` of every column in one pass, then turn the single row into one per column."""
 
     def aggregates(column: str) -> str:

@@ -105,6 +105,20 @@ def test_bronze_step_alone(spark, loan_csv, tmp_path):
     assert folders.subfolders(spark, str(tmp_path / "mart" / "bronze" / "lms")) == ["snapshot_date=2023-08-01"]
 
 
+def test_a_large_snapshot_is_split_over_files(spark, tmp_path):
+    df = spark.range(0, 400_000, 1, 8).selectExpr("uuid() AS v", "if(id % 10 = 0, DATE'2023-02-01', DATE'2023-01-01') AS snapshot_date")
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "1m")
+    try:
+        tables.overwrite_snapshots(df, str(tmp_path / "store"), gather=True)
+    finally:
+        spark.conf.set(size, before)
+    files = {p.name: len(list(p.glob("*.parquet"))) for p in (tmp_path / "store").iterdir() if p.is_dir()}
+    assert files["snapshot_date=2023-01-01"] > 4 and files["snapshot_date=2023-02-01"] <= 2
+    assert tables.read_snapshots(spark, str(tmp_path / "store")).count() == 400_000
+
+
 def test_default_snapshot_dates(spark):
     dates = labels.snapshot_dates(spark)
     assert len(dates) == 24 and dates[0] == "2023-01-01" and dates[-1] == "2024-12-01"
@@ -202,7 +216,7 @@ def test_training_mode_is_checked(spark):
         training.training_table(label_rows(spark, []), {}, "sideways")
 
 
-def test_pipeline_runs_only_what_is_on(spark, loan_csv, tmp_path):
+def test_full_runs_only_what_is_on(spark, loan_csv, tmp_path):
     loan_csv(
         loan_line("A_1", "2023-07-01", 6, overdue="100.0"),
         loan_line("A_1", "2023-07-01", 6, overdue="100.0"),

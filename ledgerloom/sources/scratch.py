@@ -2,29 +2,48 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerloom.sources import folders
+
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``. Where it is unset a local one is made, in local mode only."""
-    context = spark.sparkContext
+    """The folder of ``spark.checkpoint.dir`` or, where that is unset, one below the warehouse folder.
+
+    Both are folders that all executors share; a folder of one machine is never chosen.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if context.getCheckpointDir() is None:
-        if not named and not context.master.startswith("local"):
+    if not named:
+        warehouse = spark.conf.get("spark.sql.warehouse.dir", None)
+        if not warehouse:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="ledgerloom-"))
-    return named or context.getCheckpointDir()
+        named = f"{warehouse.rstrip('/')}/_ledgerloom"
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """Store a small result once in the checkpoint folder, which also cuts its lineage."""
-    shared_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _run_folder(spark: SparkSession) -> str:
+    return f"{shared_root(spark).rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder path under the checkpoint folder."""
-    return f"{shared_root(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new folder path under the shared root, in the application's own folder."""
+    return f"{_run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Write a result once as Parquet in the scratch folder and read it back, which cuts its lineage.
+
+    The files are in shared storage, so a lost executor costs no recomputation of what came before.
+    """
+    path = scratch_folder(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove all that this application has stored; frames read from it are of no use afterwards."""
+    folders.delete(spark, _run_folder(spark))

@@ -5,7 +5,7 @@ from __future__ import annotations
 _OP9 = r"""
 WITH sized AS (
   SELECT doc_id, source, text,
-    len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), w -> w <> ''))::BIGINT AS size
+    len(list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> ''))::BIGINT AS size
   FROM documents),
 keyed AS (
   SELECT doc_id, source, size,

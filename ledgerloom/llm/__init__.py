@@ -1 +1,8 @@
 """Corpus operators for training data: deduplication, quality, contamination, secrets, licenses, mixing, toxicity."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Task functions travel with the job, so executors need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ledgerloom.llm import mixing, rules
+from ledgerloom.llm import mixing, rules, simhash, toxicity
 from ledgerloom.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,13 +22,23 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *base, "ratio")
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op2_quality_rules, op9_mix)}
+    return {q.__name__: q for q in (op2_quality_rules, op3_simhash, op9_mix, op10_toxicity)}
 
 
 def corpus_sql() -> dict[str, str]:

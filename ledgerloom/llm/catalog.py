@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerloom.llm import mixing, rules, simhash, toxicity
+from ledgerloom.llm import contamination, mixing, rules, secrets, simhash, toxicity
 from ledgerloom.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +27,28 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    digest = F.sha2(F.array_join("item_ids", ","), 256)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", digest.alias("items_sha256"), "contaminated")
+
+
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(_table(spark, sf_dir, "documents"))
+    ranks = F.transform("spans", lambda s: s["rank"])
+    counts = {
+        f"n_{kind}": (F.size(ranks) - F.size(F.array_remove(ranks, rank))).cast("long")
+        for rank, kind in enumerate(secrets.KINDS)
+    }
+    base = secrets.listed(F.filter("spans", lambda s: s["rank"] < secrets.KINDS.index("random")))
+    return found.select(
+        "doc_id",
+        *[n.alias(c) for c, n in counts.items()],
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.listed(F.col("spans")).alias("spans"),
+    )
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -38,7 +61,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op2_quality_rules, op3_simhash, op9_mix, op10_toxicity)}
+    return {q.__name__: q for q in (op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op9_mix, op10_toxicity)}
 
 
 def corpus_sql() -> dict[str, str]:

@@ -40,4 +40,39 @@ SELECT doc_id, size, source_size, target,
   (size * epochs + greatest(0, least(size, floor(target)::BIGINT - epochs * source_size - before)))::BIGINT AS taken
 FROM placed"""
 
-SQL = {"op9_mix": _OP9}
+_OP5 = r"""
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS words
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[pos : pos + size - 1], ' ') AS win
+  FROM (SELECT item_id, words, least(10, len(words)) AS size,
+          unnest(range(1, len(words) - least(10, len(words)) + 2)) AS pos
+        FROM b WHERE len(words) > 0)),
+sizes AS (SELECT DISTINCT size FROM windows),
+places AS (
+  SELECT doc_id, size, pos, array_to_string(words[pos : pos + size - 1], ' ') AS win
+  FROM (SELECT doc_id, words, size, unnest(range(1, len(words) - size + 2)) AS pos
+        FROM w, sizes WHERE len(words) >= size)),
+occurs AS (SELECT p.doc_id, p.pos, p.size, v.item_id FROM places p JOIN windows v ON p.size = v.size AND p.win = v.win),
+hit AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + size)) AS word FROM (SELECT DISTINCT doc_id, pos, size FROM occurs))
+  GROUP BY doc_id),
+items AS (
+  SELECT doc_id, count(DISTINCT item_id) AS n_items,
+    sha256(array_to_string(list_sort(list(DISTINCT item_id::VARCHAR)), ',')) AS digest
+  FROM occurs GROUP BY doc_id)
+SELECT w.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+  coalesce(n_items, 0)::BIGINT AS n_items, coalesce(digest, sha256('')) AS items_sha256,
+  coalesce(n_hit, 0) > 0 AS contaminated
+FROM w LEFT JOIN hit USING (doc_id) LEFT JOIN items USING (doc_id)"""
+
+SQL = {"op5_decontaminate": _OP5, "op9_mix": _OP9}

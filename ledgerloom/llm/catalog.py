@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import contamination, lines, mixing, rules, secrets, simhash, toxicity
+from ledgerloom.llm import chunks, contamination, lines, mixing, rules, secrets, simhash, toxicity
 from ledgerloom.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -17,6 +17,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = chunks.repeated_chunks(_table(spark, sf_dir, "documents"))
+    listed = F.array_join(F.transform("spans", lambda s: F.concat_ws(":", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", listed.alias("spans"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
     base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -65,7 +71,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op9_mix, op10_toxicity)}
+    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op9_mix, op10_toxicity)}
 
 
 def corpus_sql() -> dict[str, str]:

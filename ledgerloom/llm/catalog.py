@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerloom.llm import chunks, contamination, lines, mixing, rules, secrets, simhash, toxicity
+from ledgerloom.llm import chunks, contamination, licenses, lines, mixing, rules, secrets, simhash, toxicity
 from ledgerloom.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +59,10 @@ def op7_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.repeated_lines(_table(spark, sf_dir, "documents"))
 
 
+def op8_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find(_table(spark, sf_dir, "documents"))
+
+
 def op9_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
@@ -71,7 +75,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op9_mix, op10_toxicity)}
+    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op8_licenses, op9_mix, op10_toxicity)}
 
 
 def corpus_sql() -> dict[str, str]:

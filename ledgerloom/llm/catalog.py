@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from ledgerloom.llm import chunks, contamination, licenses, lines, mixing, rules, secrets, simhash, toxicity
 from ledgerloom.llm.oracle import SQL
 
@@ -25,8 +26,7 @@ def op1_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = rules.judge(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
-    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select("doc_id", *base, "ratio")
+    return judged.select("doc_id", *rules.ADDED)
 
 
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +74,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op8_licenses, op9_mix, op10_toxicity)}
+    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op8_licenses, op9_mix, op10_toxicity, pipeline)}
 
 
 def corpus_sql() -> dict[str, str]:

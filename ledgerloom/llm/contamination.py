@@ -141,3 +141,11 @@ def contaminated(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` without any occurrence of an item's window; their columns stay as they are."""
+    narrow = pick(docs, doc_id=key, text=text)
+    bench = items.select(F.lit("").alias("item_id"), F.col("text"))
+    hit = occurrences(narrow, bench).select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, F.col(f"`{key}`").eqNullSafe(F.col("__hit")), "left_anti")

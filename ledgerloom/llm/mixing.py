@@ -124,3 +124,16 @@ def mix(
         F.col("t.target").alias("target"),
         taken.cast("long").alias("taken"),
     )
+
+
+def taken_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` that the mix takes words of, with size, source_size, target and taken added.
+
+    Columns of ``docs`` with one of these names are replaced. Keys are expected to be unique; rows that share one are
+    each joined to all of its results.
+    """
+    added = ("size", "source_size", "target", "taken")
+    mixed = mix(docs, text, source, key).filter(F.col("taken") > 0).withColumnRenamed("doc_id", "__key")
+    plain = docs.drop(*[c for c in added if c in docs.columns])
+    joined = plain.join(mixed.select("__key", *added), F.col(f"`{key}`").eqNullSafe(F.col("__key")))
+    return joined.drop("__key")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chunks, contamination, licenses, lines, mixing, rules, secrets, simhash, toxicity
+from ledgerloom.llm import chunks, contamination, licenses, lines, mixing, rules, secrets, simhash, suffixes, toxicity
 from ledgerloom.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,11 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+def op4_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffixes.remove_repeats(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = contamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     digest = F.sha2(F.array_join("item_ids", ","), 256)
@@ -79,7 +84,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op8_licenses, op9_mix, op10_toxicity, pipeline)}
+    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op4_suffix_repeats, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op8_licenses, op9_mix, op10_toxicity, pipeline)}
 
 
 def corpus_sql() -> dict[str, str]:

@@ -19,35 +19,59 @@ ATTRIBUTES = {
         WHEN c_custkey % 19 = 0 THEN ''
         WHEN c_custkey % 23 = 0 THEN NULL
         ELSE concat('Media_', c_mktsegment) END""",
-    "snapshot_date": "concat('2023-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-01')",
+    "snapshot_date": """CASE WHEN c_custkey % 37 = 3 THEN '1996/05/01'
+        WHEN c_custkey % 41 = 5 THEN NULL
+        WHEN c_custkey % 43 = 6 THEN '1996'
+        WHEN c_custkey % 47 = 7 THEN '1996-1-1'
+        WHEN c_custkey % 12 = 4 THEN '1996-06-01'
+        ELSE concat('1996-', lpad(CAST(1 + c_custkey % 12 AS STRING), 2, '0'), '-01') END""",
 }
 
 CLICKSTREAM = {
     **{
-        f"fe_{k}": f"CAST(CAST(floor(value * {k}) AS BIGINT) - event_id % {k + 3} AS STRING)"
+        f"fe_{k}": f"""CASE WHEN event_id % 103 = {k} THEN NULL
+        WHEN event_id % 107 = {k} THEN concat(CAST(event_id % 50 AS STRING), '.7')
+        WHEN event_id % 109 = {k} THEN 'n/a'
+        WHEN event_id % 113 = {k} THEN '-.5'
+        ELSE CAST(CAST(floor(value * {k}) AS BIGINT) - event_id % {k + 3} AS STRING) END"""
         for k in range(1, 21)
     },
     "Customer_ID": _CUSTOMER.format("user_id"),
-    "snapshot_date": """concat(CAST(2023 + CAST(floor((event_id % 24) / 12) AS INT) AS STRING), '-',
-        lpad(CAST(1 + event_id % 12 AS STRING), 2, '0'), '-01')""",
+    "snapshot_date": """CASE WHEN event_id % 197 = 5 THEN '1996-13-01'
+        WHEN event_id % 191 = 7 THEN 'unknown'
+        WHEN event_id % 24 = 16 THEN '1997-06-01'
+        ELSE concat(CAST(1996 + CAST(floor((event_id % 24) / 12) AS INT) AS STRING), '-',
+        lpad(CAST(1 + event_id % 12 AS STRING), 2, '0'), '-01') END""",
 }
 
+# An order is a loan and its lines are the instalments, two months apart; the tenth month of all has none
+_BORROWER = "CAST(1 + l_orderkey % 149 AS STRING)"
+_MONTHS = "(l_orderkey % 12 + 2 * l_linenumber + CASE WHEN l_orderkey % 12 + 2 * l_linenumber = 9 THEN 1 ELSE 0 END)"
+
 LOAN_DAILY = {
-    "loan_id": "concat('CUS_', CAST(l_suppkey AS STRING), '_', CAST(l_orderkey AS STRING))",
-    "Customer_ID": _CUSTOMER.format("l_suppkey"),
-    "loan_start_date": "CAST(CAST(l_shipdate AS DATE) AS STRING)",
-    "tenure": "CASE WHEN l_linestatus = 'O' THEN '10' ELSE '12' END",
-    "installment_num": "CAST(l_linenumber AS STRING)",
-    "loan_amt": "CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING)",
+    "loan_id": f"concat('CUS_', {_BORROWER}, '_', CAST(l_orderkey AS STRING))",
+    "Customer_ID": f"concat('CUS_', {_BORROWER})",
+    "loan_start_date": """CASE WHEN l_orderkey % 131 = 3 THEN '1995-02-30'
+        WHEN l_orderkey % 137 = 4 THEN 'soon' ELSE CAST(CAST(l_shipdate AS DATE) AS STRING) END""",
+    "tenure": """CASE WHEN l_orderkey % 61 = 7 THEN '10.0' WHEN l_orderkey % 67 = 8 THEN 'ten'
+        WHEN l_orderkey % 71 = 9 THEN NULL WHEN l_linestatus = 'O' THEN '10' ELSE '12' END""",
+    "installment_num": """CASE WHEN l_orderkey % 73 = 1 THEN concat(CAST(l_linenumber AS STRING), '.9')
+        ELSE CAST(l_linenumber AS STRING) END""",
+    "loan_amt": """CASE WHEN l_orderkey % 79 = 2 THEN '-3.0' WHEN l_orderkey % 83 = 3 THEN '12.5_'
+        WHEN l_orderkey % 89 = 4 THEN NULL
+        ELSE CAST(CAST(floor(l_extendedprice) AS BIGINT) AS STRING) END""",
     "due_amt": """CASE WHEN l_orderkey % 97 = 0 THEN '0.0'
+        WHEN l_orderkey % 101 = 5 THEN NULL WHEN l_orderkey % 103 = 6 THEN 'none'
         ELSE CAST(floor(l_extendedprice * 10) / 100 AS STRING) END""",
     "paid_amt": """CASE WHEN l_returnflag = 'R' THEN '0.0'
         WHEN l_returnflag = 'A' THEN CAST(floor(l_extendedprice * 25) / 100 AS STRING)
         ELSE CAST(floor(l_extendedprice * 10) / 100 AS STRING) END""",
-    "overdue_amt": """CASE WHEN l_returnflag = 'R'
+    "overdue_amt": """CASE WHEN l_orderkey % 107 = 7 THEN NULL WHEN l_returnflag = 'R'
         THEN CAST(floor(l_extendedprice * 10 * (l_quantity % 5)) / 100 AS STRING) ELSE '0.0' END""",
     "balance": "CAST(floor(l_extendedprice * (1 - l_discount) * 100) / 100 AS STRING)",
-    "snapshot_date": "CAST(CAST(date_trunc('month', l_shipdate) AS DATE) AS STRING)",
+    "snapshot_date": f"""CASE WHEN l_linenumber = 2 AND l_orderkey % 53 = 8 THEN 'n.d.'
+        ELSE concat(CAST(1995 + CAST(floor({_MONTHS} / 12) AS INT) AS STRING), '-',
+        lpad(CAST(1 + {_MONTHS} % 12 AS STRING), 2, '0'), '-01') END""",
 }
 
 FINANCIALS = {
@@ -85,7 +109,9 @@ FINANCIALS = {
         ELSE concat(CAST(o_orderkey % 30 AS STRING), ' Years and ', CAST(o_orderkey % 12 AS STRING), ' Months') END""",
     "Payment_of_Min_Amount": """CASE WHEN o_orderkey % 3 = 0 THEN 'NM' WHEN o_orderkey % 59 = 0 THEN '_'
         ELSE 'Yes' END""",
-    "snapshot_date": "CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS STRING)",
+    "snapshot_date": """CASE WHEN o_orderkey % 173 = 9 THEN '95-01'
+        WHEN CAST(date_trunc('month', o_orderdate) AS DATE) = DATE '1994-05-01' THEN '1994-06-01'
+        ELSE CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS STRING) END""",
 }
 
 # raw table: (test table, columns)

@@ -9,7 +9,7 @@ import re
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.catalog.adapters import RAW_TABLES, raw_sql
-from ledgerloom.catalog.queries import SHORT, YOUNGER
+from ledgerloom.catalog.queries import SHORT
 
 _RELATIONS: dict[str, str] = {}
 
@@ -42,11 +42,16 @@ def _union(selects) -> str:
 
 
 def _int(c: str) -> str:
-    return rf"TRY_CAST(regexp_replace({c}, '^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$', '\1') AS INTEGER)"
+    return rf"""CASE WHEN NOT regexp_matches({c}, '^\s*[+-]?[0-9]*\.[0-9]*\s*$') THEN TRY_CAST({c} AS INTEGER)
+      WHEN regexp_matches({c}, '^\s*[+-]?\.') THEN 0
+      ELSE TRY_CAST(regexp_extract({c}, '([+-]?[0-9]+)\.', 1) AS INTEGER) END"""
 
 
 def _date(c: str) -> str:
-    return f"TRY_CAST({c} AS DATE)"
+    """A year, or a year and a month, stand for their first day."""
+    return rf"""CASE WHEN regexp_matches({c}, '^\d{{4}}$') THEN TRY_CAST({c} || '-01-01' AS DATE)
+      WHEN regexp_matches({c}, '^\d{{4}}-\d{{1,2}}$') THEN TRY_CAST({c} || '-01' AS DATE)
+      WHEN regexp_matches({c}, '^\d{{4}}-\d{{1,2}}-\d{{1,2}}$') THEN TRY_CAST({c} AS DATE) END"""
 
 
 SILVER_COLUMNS = {
@@ -278,15 +283,14 @@ _FEATURES = {
 _ROUNDED = (*fv.CLICK_FEATURES, *_IMPUTED, "log_Annual_Income", "log_Outstanding_Debt")
 
 
-def _training(as_of: bool, shift: int) -> str:
-    """Labels with each gold table; ``shift`` months are taken off the click-stream and attribute snapshots."""
+def _training(as_of: bool) -> str:
+    """Labels with each gold table."""
     target = "CAST(snapshot_date - INTERVAL 6 MONTH AS DATE)" if as_of else "snapshot_date"
     joins, columns, parts = [], [], []
     for short, name in SHORT.items():
         keys = ("loan_id", "Customer_ID") if short == "loan" else ("Customer_ID",)
-        date = f"CAST(snapshot_date - INTERVAL {shift if short in ('click', 'attr') else 0} MONTH AS DATE)"
         kept = [*keys, "day", *_FEATURES[short]]
-        moved = f"(SELECT * EXCLUDE (snapshot_date), {date} AS day FROM gold_{short})"
+        moved = f"(SELECT * EXCLUDE (snapshot_date), snapshot_date AS day FROM gold_{short} WHERE snapshot_date IS NOT NULL)"
         parts.append(f"t_{short} AS ({_first(moved, (*keys, 'day'), kept)})")
         matched = " AND ".join([f"l.{k} = t_{short}.{k}" for k in keys])
         joins.append(
@@ -359,6 +363,58 @@ def _summary(relation: str, columns) -> str:
     )
 
 
+def _quartile_ranks(relation: str, columns) -> str:
+    return _union(
+        f"SELECT '{c}' AS \"column\", '{q}' AS quartile, count({c}) AS count, true AS within FROM {relation}"
+        for c in columns
+        for q in ("p25", "p50", "p75")
+    )
+
+
+def _long(report: str, sql: str, named: str, metrics) -> str:
+    """A report as rows (stage, dataset, report, column, metric, value)."""
+    stage, dataset, name = report.split("/")
+    return _union(
+        f"""SELECT '{stage}' AS stage, '{dataset}' AS dataset, '{name}' AS report, {named} AS "column",
+          '{m}' AS metric, round(CAST({'1' if m == 'present' else m} AS DOUBLE), 6) AS value FROM ({sql})"""
+        for m in metrics
+    )
+
+
+def _reports(found: dict[str, str]) -> str:
+    parts, counts = [], ("total_rows", "distinct_keys", "duplicate_rows")
+    column, moments = '"column"', ("count", "mean", "stddev", "min", "max")
+    for short, name in SHORT.items():
+        sample = "concat_ws('|', \"column\", Customer_ID, value)"
+        month = "CAST(missing_month AS VARCHAR)"
+        parts += [
+            _long(f"silver/{name}/invalid", found[f"invalid_summary_{short}"], column, ["invalid"]),
+            _long(f"silver/{name}/invalid_samples", found[f"invalid_samples_{short}"], sample, ["position"]),
+            _long(f"silver/{name}/nulls", found[f"null_profile_{short}"], column, ["nulls"]),
+            _long(f"silver/{name}/duplicates", found[f"dup_keys_{short}"], "''", counts),
+            _long(f"silver/{name}/missing_months", found[f"missing_months_{short}"], month, ["present"]),
+            _long(f"silver/{name}/ranges", found[f"range_profile_{short}"], column, ("min", "max", "mean")),
+        ]
+    shape = ("row_count", "features", "raw_values", "outlier_flags")
+    flags = ("age_outlier_flag", "age_missing_flag", "unknown_occupation_flag")
+    dated = "concat_ws('|', CAST(snapshot_date AS VARCHAR), label_def)"
+    cleanup = "SELECT 'snapshot_date=' || snapshot_date AS folder, count(*) AS rows FROM labels_30_6 GROUP BY snapshot_date"
+    parts += [
+        _long("gold/clickstream/shape", found["click_shape"], "''", shape),
+        _long("gold/attributes/flag_totals", found["flag_totals"], "''", flags),
+        _long("gold/financials/rates", found["fin_rates"], "condition", ("hits", "total", "rate")),
+        _long("gold/financials/null_columns", found["fin_null_columns"], column, ["nulls"]),
+        _long("gold/financials/duplicates", found["dup_keys_fin"], "''", counts),
+        _long("gold/financials/summary", found["feature_summary_fin"], column, moments),
+        _long("gold/loan_daily/duplicates", found["dup_loan_snapshots"], "''", counts),
+        _long("gold/loan_daily/summary", found["feature_summary_loan"], column, moments),
+        _long("gold/loan_daily/flags", found["loan_flag_distribution"], "flag", ("value", "rows", "pct")),
+        _long("label/store/cleanup", cleanup, "folder || '|kept'", ["rows"]),
+        _long("label/store/labels", found["label_rate_by_snapshot"], dated, ("loans", "defaults")),
+    ]
+    return _union(parts)
+
+
 def all_sql() -> dict[str, str]:
     found: dict[str, str] = {}
     for short in SHORT:
@@ -447,16 +503,30 @@ def all_sql() -> dict[str, str]:
         ),
         "feature_summary_fin": _summary("gold_fin", fv.FINANCIAL_SUMMARY_COLUMNS),
         "feature_summary_loan": _summary("gold_loan", fv.LOAN_SUMMARY_COLUMNS),
-        "training_exact": _training(as_of=False, shift=YOUNGER),
-        "training_as_of": _training(as_of=True, shift=YOUNGER),
+        "feature_quartiles_fin": _quartile_ranks("gold_fin", fv.FINANCIAL_SUMMARY_COLUMNS),
+        "feature_quartiles_loan": _quartile_ranks("gold_loan", fv.LOAN_SUMMARY_COLUMNS),
+        "training_exact": _training(as_of=False),
+        "training_as_of": _training(as_of=True),
         "label_snapshots": "SELECT * FROM labels_30_6",
         "prune_empty": """SELECT 'snapshot_date=' || CAST(snapshot_date AS VARCHAR) AS folder, count(*) AS rows,
             'kept' AS status FROM labels_30_6 GROUP BY snapshot_date
             UNION ALL SELECT * FROM (VALUES ('snapshot_date=1900-01-01', 0, 'deleted'),
               ('snapshot_date=1900-02-01', 0, 'deleted'))""",
-        "full_run": _training(as_of=False, shift=0),
+        "full_run": _training(as_of=False),
+        "full_run_as_of": _training(as_of=True),
     }
-    return {name: _with_merged(sql) for name, sql in found.items()}
+    found["run_reports"] = _reports(found)
+    merged = {name: _with_merged(sql) for name, sql in found.items()}
+    return {name: _read_from_csv(sql) if "run" in name.split("_") else sql for name, sql in merged.items()}
+
+
+def _read_from_csv(sql: str) -> str:
+    """The same on raw tables that were CSV files in between, where an empty text becomes null."""
+    for short, name in SHORT.items():
+        cells = ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_TABLES[name][1])
+        raw = _RELATIONS[f"raw_{short}"]
+        sql = sql.replace(f"raw_{short} AS ({raw})", f"raw_{short} AS (SELECT {cells} FROM ({raw}))")
+    return sql
 
 
 def _with_merged(sql: str) -> str:

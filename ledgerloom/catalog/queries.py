@@ -27,8 +27,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 SHORT = {"click": "clickstream", "attr": "attributes", "fin": "financials", "loan": "loan_daily"}
 ATTRIBUTE_FLAGS = ("age_outlier_flag", "age_missing_flag", "unknown_occupation_flag")
 PLACES = 6
-# Click-stream and attribute snapshots of the test tables are this many months younger than the loans
-YOUNGER = 324
 
 
 def rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -57,7 +55,7 @@ def loan_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 def snapshot_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The loans of the latest snapshot."""
     dated = labels.label_bronze(raw_table(spark, sf_dir, "loan_daily"))
-    return tables.at_snapshot(dated, dated.agg(F.max(fv.SNAPSHOT)).first()[0])
+    return dated.filter(F.col(fv.SNAPSHOT) == dated.agg(F.max(fv.SNAPSHOT)).scalar())
 
 
 def label_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -189,32 +187,34 @@ def loan_flag_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
 MOMENTS = ("mean", "stddev", "min", "max")
 
 
+def _exact_part(summary: DataFrame) -> DataFrame:
+    """A summary but for its quartiles, which are estimates."""
+    return rounded(summary.drop(*quality.QUARTILES), *MOMENTS)
+
+
 def feature_summary_fin(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = gold_table(spark, sf_dir, "financials")
-    return rounded(quality.feature_moments(table, fv.FINANCIAL_SUMMARY_COLUMNS), *MOMENTS)
+    return _exact_part(quality.feature_summary(table, fv.FINANCIAL_SUMMARY_COLUMNS))
 
 
 def feature_summary_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rounded(quality.feature_moments(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS), *MOMENTS)
+    return _exact_part(quality.feature_summary(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS))
 
 
 def feature_quartiles_fin(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.feature_quartiles(gold_table(spark, sf_dir, "financials"), fv.FINANCIAL_SUMMARY_COLUMNS)
+    """Whether the sketched quartiles have the ranks they should have."""
+    return quality.quartile_ranks(gold_table(spark, sf_dir, "financials"), fv.FINANCIAL_SUMMARY_COLUMNS)
 
 
 def feature_quartiles_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.feature_quartiles(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS)
+    return quality.quartile_ranks(gold_loan(spark, sf_dir), fv.LOAN_SUMMARY_COLUMNS)
 
 
 # Training table
 
 
 def training_features(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """Gold tables, the younger ones moved to the years of the loans so that they meet."""
-    found = {name: gold_table(spark, sf_dir, name) for name in RAW_TABLES}
-    for name in ("clickstream", "attributes"):
-        found[name] = found[name].withColumn(fv.SNAPSHOT, F.add_months(fv.SNAPSHOT, -YOUNGER))
-    return found
+    return {name: gold_table(spark, sf_dir, name) for name in RAW_TABLES}
 
 
 def _rounded_training(table: DataFrame) -> DataFrame:
@@ -256,7 +256,7 @@ def _bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def _loan_months(spark: SparkSession, sf_dir: str) -> list[str]:
     """The loans' snapshot dates: a value a month."""
-    dates = loan_silver(spark, sf_dir).select(fv.SNAPSHOT).distinct().collect()
+    dates = loan_silver(spark, sf_dir).select(fv.SNAPSHOT).dropna().distinct().collect()
     return sorted(str(r[0]) for r in dates)
 
 
@@ -277,8 +277,8 @@ def prune_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     return folders.prune_empty_folders(spark, root)
 
 
-def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages from CSV files to the stored training table."""
+def _run(spark: SparkSession, sf_dir: str, mode: str) -> tuple[str, dict[str, DataFrame]]:
+    """All stages from CSV files on; the folder they are in and the reports."""
     source, root = _raw_folder(spark, sf_dir, *RAW_TABLES), scratch_folder(spark, "run")
     stages = ("run_bronze", "run_silver", "run_gold", "run_label", "run_label_cleanup", "run_join")
     config = {
@@ -286,10 +286,26 @@ def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         "datasets": dict.fromkeys(RAW_TABLES, True),
         "label_store": {"dpd": fv.DPD, "mob": fv.MOB, "snapshot_dates": _loan_months(spark, sf_dir)},
     }
-    pipeline.run(spark, source, root, config)
+    return root, pipeline.run(spark, source, root, config, mode)
+
+
+def full_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored training table of a whole run."""
+    root, _ = _run(spark, sf_dir, training.EXACT)
+    return _rounded_training(tables.read_parquet(spark, f"{root}/gold/final_training_table"))
+
+
+def full_run_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, _ = _run(spark, sf_dir, training.AS_OF)
     return _rounded_training(tables.read_parquet(spark, f"{root}/gold/final_training_table"))
 
 
+def run_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored reports of a whole run, without the estimated quartiles."""
+    root, _ = _run(spark, sf_dir, training.EXACT)
+    return rounded(pipeline.read_reports(spark, root).filter(~F.col("metric").isin(*quality.QUARTILES)), "value")
+
+
 def _per_table() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for short, name in SHORT.items():
@@ -352,6 +368,8 @@ def all_queries() -> dict[str, Query]:
         label_snapshots,
         prune_empty,
         full_run,
+        full_run_as_of,
+        run_reports,
     ]
     loan_keys: Query = lambda spark, sf_dir: quality.duplicate_keys(loan_silver(spark, sf_dir), fv.LOAN_KEY)
     return {**_per_table(), "dup_loan_snapshots": loan_keys, **{q.__name__: q for q in single}}

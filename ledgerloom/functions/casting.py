@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 
-_WITH_FRACTION = r"^(\s*[+-]?[0-9]+)\.[0-9]*(\s*)$"
+_WITH_FRACTION = r"^\s*([+-]?[0-9]*)\.[0-9]*\s*$"
 
 
 def quoted(name: str) -> str:
@@ -24,10 +24,12 @@ def without_suffix(name: str) -> str:
 
 
 def to_int(name: str) -> Column:
-    """Text to int, cutting a fraction off (``12.7`` is 12). The regex only runs where the plain cast failed."""
+    """Text to int, cutting a fraction off (``12.7`` is 12, ``.5`` is 0). The regex only runs where the cast failed."""
     c = quoted(name)
-    whole = f"try_cast(regexp_replace({c}, r'{_WITH_FRACTION}', '$1') AS INT)"
-    return F.expr(f"coalesce(try_cast({c} AS INT), if(contains({c}, '.'), {whole}, NULL))")
+    digits = f"regexp_extract({c}, r'{_WITH_FRACTION}', 1)"
+    whole = f"if({digits} IN ('', '+', '-'), 0, try_cast({digits} AS INT))"
+    cut = f"if(contains({c}, '.') AND {c} RLIKE r'{_WITH_FRACTION}', {whole}, NULL)"
+    return F.expr(f"coalesce(try_cast({c} AS INT), {cut})")
 
 
 def to_strict_int(name: str, pattern: str = fv.INTEGER_PATTERN) -> Column:

@@ -55,10 +55,14 @@ def min_payment(text: Column) -> Column:
 
 
 def credit_history_months(text: Column) -> Column:
-    """``22 Years and 9 Months`` as 273. A part that is not there counts 0; placeholders give null."""
+    """``22 Years and 9 Months`` as 273. A part that is not there counts 0; placeholders give null.
+
+    A number too long to be counted gives null too, it does not pass for a missing one.
+    """
 
     def part(pattern: str) -> Column:
-        return F.coalesce(F.regexp_extract(text, pattern, 1).try_cast("bigint"), F.lit(0))
+        digits = F.regexp_extract(text, pattern, 1)
+        return F.when(digits == "", F.lit(0).cast("bigint")).otherwise(digits.try_cast("bigint"))
 
     months = F.try_add(F.try_multiply(part(fv.YEARS_PATTERN), F.lit(12)), part(fv.MONTHS_PATTERN))
     return F.when(~is_placeholder(text), months.try_cast("int"))

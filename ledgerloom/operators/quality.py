@@ -155,9 +155,77 @@ def feature_quartiles(df: DataFrame, columns: Sequence[str], k: int = SKETCH_SIZ
     return whole.selectExpr(f"inline(array({', '.join(map(measured, columns))}))")
 
 
-def feature_summary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, count, mean, stddev, min, max, p25, p50, p75): a row per feature."""
-    return feature_moments(df, columns).join(feature_quartiles(df, columns), "column")
+def feature_summary(df: DataFrame, columns: Sequence[str], k: int = SKETCH_SIZE) -> DataFrame:
+    """(column, count, mean, stddev, min, max, p25, p50, p75): a row per feature, all from one scan.
+
+    Moments and sketches are made in SKETCH_GROUPS groups and then merged, the moments pairwise, so that a small spread
+    around a large mean is not lost.
+    """
+    parts = {
+        "n": "count({0})",
+        "mean": "avg({0})",
+        "m2": "var_pop({0}) * count({0})",
+        "low": "min({0})",
+        "high": "max({0})",
+        "sketch": f"kll_sketch_agg_double({{0}}, {k})",
+    }
+    zero = "named_struct('n', 0L, 'mean', 0D, 'm2', 0D)"
+    merge = """(a, b) -> if(b.n = 0, a, named_struct('n', a.n + b.n,
+        'mean', a.mean + (b.mean - a.mean) * b.n / (a.n + b.n),
+        'm2', a.m2 + b.m2 + (b.mean - a.mean) * (b.mean - a.mean) * a.n * b.n / (a.n + b.n)))"""
+
+    def whole(c: str) -> str:
+        n, mean, m2, low, high, sketch = (quoted(f"{c} {part}") for part in parts)
+        listed = f"collect_list(named_struct('n', {n}, 'mean', coalesce({mean}, 0D), 'm2', coalesce({m2}, 0D)))"
+        quartiles = ", ".join(
+            f"'{name}', if(sum({n}) > 0, kll_sketch_get_quantile_double(kll_merge_agg_double({sketch}, {k}), {q}D), NULL)"
+            for name, q in QUARTILES.items()
+        )
+        return f"""named_struct('column', '{c}', 'of', aggregate({listed}, {zero}, {merge}),
+            'min', min({low}), 'max', max({high}), {quartiles})"""
+
+    cast = df.selectExpr(*[f"CAST({quoted(c)} AS DOUBLE) AS {quoted(c)}" for c in columns])
+    grouped = cast.groupBy(F.pmod(F.spark_partition_id(), F.lit(SKETCH_GROUPS)).alias("_group"))
+    partial = grouped.agg(
+        *[F.expr(sql.format(quoted(c))).alias(f"{c} {part}") for c in columns for part, sql in parts.items()]
+    )
+    merged = partial.agg(F.expr(f"array({', '.join(map(whole, columns))})").alias("rows")).select(F.inline("rows"))
+    return merged.selectExpr(
+        "`column`",
+        "of.n AS count",
+        "if(of.n > 0, of.mean, NULL) AS mean",
+        "if(of.n > 1, sqrt(of.m2 / (of.n - 1)), NULL) AS stddev",
+        "min",
+        "max",
+        *QUARTILES,
+    )
+
+
+def quartile_ranks(df: DataFrame, columns: Sequence[str], k: int = SKETCH_SIZE) -> DataFrame:
+    """(column, quartile, count, within): whether each quartile of ``feature_quartiles`` has the rank it should have.
+
+    The rows below it and at it are counted exactly; ``within`` is true where its rank is off by no more than the
+    sketches' bound, or where there is no value at all.
+    """
+    quartiles = feature_quartiles(df, columns, k)
+    named = F.map_from_entries(F.collect_list(F.struct("column", F.array(*QUARTILES))))
+    found = df.select(*columns).withColumn("_q", quartiles.agg(named).scalar())
+    bound = 2.4 / k**0.94
+
+    def measured(c: str) -> dict[str, str]:
+        cells = {"count": f"count({quoted(c)})"}
+        for i, name in enumerate(QUARTILES):
+            at = f"CAST({quoted(c)} AS DOUBLE) {{}} _q['{c}'][{i}]"
+            cells |= {f"below_{name}": f"count_if({at.format('<')})", f"upto_{name}": f"count_if({at.format('<=')})"}
+        return cells
+
+    counted = _one_row_per_column(found, columns, measured)
+    rows = ", ".join(
+        f"struct('{name}' AS quartile, count = 0 OR (below_{name} <= ({q} + {bound}) * count + 1"
+        f" AND upto_{name} >= ({q} - {bound}) * count - 1) AS within)"
+        for name, q in QUARTILES.items()
+    )
+    return counted.selectExpr("`column`", "count", f"inline(array({rows}))")
 
 
 def flag_totals(df: DataFrame, flags: Sequence[str]) -> DataFrame:

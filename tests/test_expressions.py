@@ -66,7 +66,7 @@ def test_key_trim_takes_spaces_only(column):
             cleaning.credit_history_months,
             ["22 Years and 9 Months", "1 Year and 1 Month", "5 Years", "7Months", "NA", "_", "", None, "3 years"]
             + ["999999999 Years", "9" * 30 + " Years"],
-            [273, 13, 60, 7, 0, None, None, None, 0] + [None, 0],
+            [273, 13, 60, 7, 0, None, None, None, 0] + [None, None],
         ),
     ],
 )
@@ -119,3 +119,22 @@ def test_absurd_arrears_do_not_fail(either_ansi, spark):
     missed = repayment.installments_missed(F.col("o"), F.col("d"))
     days = repayment.days_past_due(F.col("s"), repayment.first_missed_date(F.col("s"), missed), F.col("o"))
     assert df.select(days > 30).first()[0]
+
+
+def test_larger_arrears_never_label_lower(either_ansi):
+    """The bound on missed instalments is applied to the share itself, so no overflow turns bad loans into good ones."""
+    cases = [(1e6, 0.01), (1e6, 0.0001), (1e30, 1e-30), (repayment.MOST_MONTHS * 1.0, 1.0), (3.0, 1.0), (1.0, 100.0)]
+    df = either_ansi.createDataFrame(cases, "overdue double, due double")
+    missed = repayment.installments_missed(F.col("overdue"), F.col("due"))
+    snapshot = F.lit("2023-06-01").cast("date")
+    days = repayment.days_past_due(snapshot, repayment.first_missed_date(snapshot, F.col("missed")), F.col("overdue"))
+    rows = df.withColumn("missed", missed).select("missed", repayment.default_label(days, 30).alias("label")).collect()
+    most = repayment.MOST_MONTHS
+    assert [tuple(r) for r in rows] == [(most, 1), (most, 1), (most, 1), (most, 1), (3, 1), (1, 1)]
+    odd = either_ansi.createDataFrame([(float("nan"), 1.0), (1.0, 0.0), (-1e30, 1.0)], "overdue double, due double")
+    assert [r[0] for r in odd.select(missed).collect()] == [0, None, -most]
+
+
+def test_ints_without_leading_digits(either_ansi, column):
+    values = [".5", "-.5", ".", "+.", "12.7", " 3. ", "1.2.3", "x.5", "..", "9999999999.5"]
+    assert column(values, casting.to_int("v")) == [0, 0, 0, 0, 12, 3, None, None, None, None]

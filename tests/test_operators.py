@@ -1,4 +1,5 @@
 import datetime as dt
+import dataclasses
 import random
 from collections import Counter
 
@@ -81,8 +82,7 @@ def test_impute_mean(spark):
 
 @pytest.mark.parametrize("broadcast_rows", [100_000, 0], ids=["broadcast", "shuffle"])
 def test_rare_groups(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(lookup.KeyCounts.has_hot_keys, "__defaults__", (256, 10))
-    monkeypatch.setattr(lookup.KeyCounts.hot_keys, "__defaults__", (256, 10))
+    monkeypatch.setattr(lookup.left_join_unique, "__defaults__", (10,))
     values = ["often"] * 120 + ["seldom"] * 99 + [None] * 5
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
     got = Counter(r["v_grouped"] for r in group_rare(df, "v", broadcast_rows=broadcast_rows).collect())
@@ -112,26 +112,20 @@ def test_hot_keys_are_salted_and_nothing_is_lost(spark):
     assert (counts.rows, counts.largest) == (n + 100, 3100)
     plain = rows(left.join(right, ["k"], "left"))
 
-    class Low(lookup.KeyCounts):
-        def has_hot_keys(self, share=256, rows=1000):
-            return super().has_hot_keys(share, rows)
-
-        def hot_keys(self, share=256, rows=1000):
-            return super().hot_keys(share, rows)
-
-    low = Low(**{f: getattr(counts, f) for f in counts.__dataclass_fields__})
-    assert low.has_hot_keys() and low.hot_keys().count() == 2 and not counts.has_hot_keys()
-    salted = lookup.left_join_unique(left, right, low, salt_by=["id"])
+    assert counts.has_hot_keys(1000) and counts.hot_keys(1000).count() == 2 and not counts.has_hot_keys()
+    salted = lookup.left_join_unique(left, right, counts, salt_by=["id"], most=1000)
     assert rows(salted.select("k", "id", "v")) == plain
-    per_task = Counter(r[0] for r in salted.filter("k = 7").select(F.pmod(F.xxhash64("id"), F.lit(256))).collect())
-    assert len(per_task) > 200
+    parts = {r["k"]: r["_parts"] for r in counts.hot_keys(1000).collect()}
+    assert parts == {7: 4, None: 3}
 
 
-def test_hot_keys_are_bounded_by_their_share(spark):
-    df = spark.range(100).selectExpr("id % 10 AS k")
+def test_hot_keys_follow_the_rows_of_a_task(spark):
+    """Keys below any share of the table are dealt out too, as soon as one task would have too many of their rows."""
+    df = spark.range(1000).selectExpr("id % 10 AS k")
     counts = lookup.KeyCounts.of(df, ["k"])
-    assert counts.hot_keys(share=10, rows=1).count() == 10
-    assert counts.hot_keys(share=9, rows=1).count() == 0
+    assert counts.hot_keys(99).count() == 10 and counts.hot_keys(100).count() == 0
+    assert {r["_parts"] for r in counts.hot_keys(30).collect()} == {4}
+    assert dataclasses.replace(counts, rows=10**12).task_rows(200_000) == 10**7
     assert not lookup.KeyCounts.of(df.limit(0), ["k"]).has_hot_keys()
 
 
@@ -164,3 +158,19 @@ def test_quartiles_are_within_the_stated_rank_error(spark):
     assert got["nothing"]["count"] == 0 and got["nothing"]["p50"] is None and got["nothing"]["max"] is None
     empty = {r["column"]: r for r in quality.feature_summary(df.limit(0), ["x"]).collect()}
     assert empty["x"]["p25"] is None and empty["x"]["count"] == 0
+
+
+def test_quartile_ranks_hold_and_would_fail(spark):
+    df = spark.range(0, 20_000, 1, 8).selectExpr("double((id * 7919) % 20000) AS x", "CAST(NULL AS double) AS nothing", "id % 3 AS few")
+    got = quality.quartile_ranks(df, ["x", "nothing", "few"])
+    assert [r["within"] for r in got.collect()] == [True] * 9
+    assert {r["column"]: r["count"] for r in got.collect()} == {"x": 20_000, "nothing": 0, "few": 20_000}
+
+
+def test_summary_is_one_scan_and_keeps_small_spreads(spark):
+    df = spark.range(0, 10_000, 1, 16).selectExpr("1e9D + id % 2 AS x")
+    summary = quality.feature_summary(df, ["x"])
+    row = summary.first()
+    assert (row["count"], row["min"], row["max"]) == (10_000, 1e9, 1e9 + 1)
+    assert abs(row["mean"] - 1e9 - 0.5) < 1e-6 and abs(row["stddev"] - 0.500025) < 1e-5
+    assert summary._jdf.queryExecution().executedPlan().toString().count("Range (") <= 2

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
+from ledgerloom.catalog.adapters import RAW_TABLES
 from ledgerloom.plans import gold, labels, pipeline, silver, training
 from ledgerloom.sources import folders, tables
 
@@ -176,8 +177,7 @@ def label_rows(spark, data):
 @pytest.mark.parametrize("hot", [False, True])
 def test_training_table_against_brute_force(spark, monkeypatch, mode, hot):
     if hot:
-        for method in ("has_hot_keys", "hot_keys"):
-            monkeypatch.setattr(getattr(training.KeyCounts, method), "__defaults__", (256, 2))
+        monkeypatch.setattr(training.left_join_unique, "__defaults__", (2,))
         monkeypatch.setattr(training.KeyCounts.fit_broadcast, "__defaults__", (0, 0))
     months = [D(2023, m, 1) for m in range(1, 13)]
     customers = [f"C{i}" for i in range(6)] + [None]
@@ -238,8 +238,8 @@ def test_full_runs_only_what_is_on(spark, loan_csv, tmp_path):
     }
     reports = pipeline.run(spark, str(tmp_path), root, config)
     assert rows(reports["silver/loan_daily/duplicates"]) == [(3, 2, 1)]
-    assert rows(reports["label/store"]) == [(D(2023, 7, 1), "30dpd_6mob", 2, 2)]
-    assert [r[2] for r in rows(reports["label/cleanup"])] == ["kept"]
+    assert rows(reports["label/store/labels"]) == [(D(2023, 7, 1), "30dpd_6mob", 2, 2)]
+    assert [r[2] for r in rows(reports["label/store/cleanup"])] == ["kept"]
     assert not folders.exists(spark, f"{root}/gold/clickstream")
     table = tables.read_parquet(spark, f"{root}/gold/final_training_table")
     assert [r["payment_ratio"] for r in table.collect()] == [1.0, 1.0]
@@ -250,3 +250,33 @@ def test_full_runs_only_what_is_on(spark, loan_csv, tmp_path):
 def test_pipeline_error_is_not_swallowed(spark, tmp_path):
     with pytest.raises(Exception):
         pipeline.run(spark, str(tmp_path / "none"), str(tmp_path / "mart"), {"run_bronze": True})
+
+
+def test_tables_without_rows(either_ansi, tmp_path):
+    """Every cleaning, gold and label step, report and join takes tables without rows."""
+    made = {}
+    for name, (_, columns) in RAW_TABLES.items():
+        raw = either_ansi.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+        clean = silver.TABLES[name].transform(raw)
+        made[name] = gold.TABLES[name](clean)
+        assert made[name].count() == 0
+        reports = {**silver.raw_reports(name, raw), **silver.silver_reports(name, clean)}
+        for report in {**reports, **gold.gold_reports(name, made[name], clean)}.values():
+            report.collect()
+    store = labels.label_gold(labels.label_silver(labels.label_bronze(raw)))
+    assert store.count() == 0
+    for mode in (training.EXACT, training.AS_OF):
+        assert training.training_table(store, made, mode).count() == 0
+
+
+def test_a_run_reads_the_loan_csv_once(spark, loan_csv, tmp_path):
+    loan_csv(loan_line("A_1", "2023-07-01", 6, overdue="100.0"))
+    root = str(tmp_path / "mart")
+    tables.ingest(spark, str(tmp_path), f"{root}/bronze", {"lms_loan_daily.csv": "loan_daily"})
+    (tmp_path / "lms_loan_daily.csv").unlink()
+    config = {"run_label": True, "label_store": {"snapshot_dates": ["2023-07-01"]}}
+    pipeline.run(spark, str(tmp_path), root, config)
+    assert labels.read_label_store(spark, root).count() == 1
+    stored = rows(pipeline.read_reports(spark, root).select("report", "column", "metric", "value"))
+    assert stored == [("labels", "2023-07-01|30dpd_6mob", "defaults", 1.0), ("labels", "2023-07-01|30dpd_6mob", "loans", 1.0)]
+

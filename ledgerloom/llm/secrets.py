@@ -77,7 +77,7 @@ def _tests(token: Column, natural: Column) -> Column:
     standard normal for a random string. ``surprise`` is how much likelier, in nats, the token is as a random string
     than as letters drawn as in ordinary words; under those, e^-surprise bounds the chance of as large a value.
     """
-    core = F.rtrim(F.lit("="), token)
+    core = F.rtrim(token, F.lit("="))
 
     def of(chars: Column) -> Column:
         def valued(v: Column) -> Column:
@@ -125,7 +125,7 @@ def _candidates(text: Column) -> Column:
 
 def _mixed(token: Column) -> Column:
     """Whether a token has both letters and digits, without which it is a word or a number."""
-    return token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (F.length(F.rtrim(F.lit("="), token)) >= LEAST_RANDOM)
+    return token.rlike("[0-9]") & token.rlike("[A-Za-z]") & (F.length(F.rtrim(token, F.lit("="))) >= LEAST_RANDOM)
 
 
 def natural_letters(tokens: DataFrame) -> DataFrame:

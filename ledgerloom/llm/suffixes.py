@@ -298,27 +298,30 @@ def repeated_spans(suffixes: DataFrame, length: int = LENGTH) -> DataFrame:
     return dealt.mapInArrow(batches, "doc_id long, start int, size int")
 
 
-def _dealt(suffixes: DataFrame, shared: DataFrame, hot: int) -> DataFrame:
+def _dealt(docs: DataFrame, shared: DataFrame, buckets: int, length: int, gram: int, hot: int) -> DataFrame:
     """Suffixes with the part of their anchor's group that they are judged in: 0 but for hot anchors.
 
     The occurrences of a hot anchor are dealt into parts by document. Each part also gets the anchor's different
     contexts with the first document of each, gathered by an aggregate that starts in each task; nothing else decides
-    on a span. These added rows have no place of their own.
+    on a span. These added rows have no place of their own. Only documents with a hot anchor are read again for them.
     """
+    suffixes = anchored_suffixes(docs, shared, buckets, length, gram)
     large = stored(shared.groupBy("code").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > hot), "hot-anchors")
     none = F.lit(0).cast("int")
     if large.isEmpty():
         return suffixes.withColumn("part", none)
-    suffixes = stored(suffixes, "suffixes").join(large, "code", "left")
     parts = F.ceil(F.col("n") / hot).cast("int")
     own = F.coalesce(F.pmod(F.xxhash64("doc_id"), parts).cast("int"), none)
-    contexts = suffixes.filter(F.col("n").isNotNull()).groupBy("code", "right", "left", "n").agg(
+    at_hot = stored(shared.join(large.select("code"), "code"), "shared-hot-anchors")
+    few = at_hot.select("doc_id").distinct()
+    some = docs.join(F.broadcast(few), "doc_id", "left_semi") if few.count() <= BROADCAST_KEYS else docs
+    contexts = anchored_suffixes(some, at_hot, buckets, length, gram).groupBy("code", "right", "left").agg(
         F.min("doc_id").alias("doc_id")
     )
-    added = contexts.select(
+    added = contexts.join(large, "code").select(
         "code", "right", "left", "doc_id", F.lit(-1).alias("at"), F.explode(F.sequence(none, parts - 1)).alias("part")
     )
-    return suffixes.withColumn("part", own).drop("n").unionByName(added)
+    return suffixes.join(large, "code", "left").withColumn("part", own).drop("n").unionByName(added)
 
 
 def remove_repeats(
@@ -342,7 +345,7 @@ def remove_repeats(
     narrow = _key_type(given)
     buckets = min(32_767, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = stored(shared_anchors(narrow, buckets, length, gram), "shared-anchors")
-    suffixes = _dealt(anchored_suffixes(narrow, shared, buckets, length, gram), shared, hot)
+    suffixes = _dealt(narrow, shared, buckets, length, gram, hot)
     spans = repeated_spans(suffixes, length)
     per_doc = spans.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("found"))
     runs = stored(per_doc.select(F.col("doc_id").alias("of"), merged(F.col("found"), 1).alias("runs")), "repeated-runs")

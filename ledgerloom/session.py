@@ -20,10 +20,3 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
     return builder
-
-
-def tune(spark: SparkSession) -> SparkSession:
-    """Set the same on a running session; all of them can be changed at run time."""
-    for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark

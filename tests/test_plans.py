@@ -280,3 +280,15 @@ def test_a_run_reads_the_loan_csv_once(spark, loan_csv, tmp_path):
     stored = rows(pipeline.read_reports(spark, root).select("report", "column", "metric", "value"))
     assert stored == [("labels", "2023-07-01|30dpd_6mob", "defaults", 1.0), ("labels", "2023-07-01|30dpd_6mob", "loans", 1.0)]
 
+
+
+@pytest.mark.parametrize("mode", [training.EXACT, training.AS_OF])
+def test_training_plan_sorts_no_structs_into_groups(spark, mode):
+    """No aggregate over wide rows: those cannot be hashed, so each task would sort all of them twice."""
+    made = {}
+    for name, (_, columns) in RAW_TABLES.items():
+        raw = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+        made[name] = gold.TABLES[name](silver.TABLES[name].transform(raw))
+    store = labels.label_gold(labels.label_silver(labels.label_bronze(raw)))
+    table = training.training_table(store, made, mode)
+    assert "SortAggregate" not in table._jdf.queryExecution().toString()

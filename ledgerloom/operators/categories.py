@@ -8,32 +8,44 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
-from ledgerloom.operators.lookup import BROADCAST_ROWS, KeyCounts, left_join_unique
+from ledgerloom.functions.casting import quoted
 
+# Parts that a category's rows are dealt into where there are too many rare categories for Spark to broadcast them
+SALTS = 64
 
-def category_counts(df: DataFrame, column: str) -> DataFrame:
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"))
+
+def category_counts(df: DataFrame, column: str, means: Sequence[str] = ()) -> DataFrame:
+    """(column, rows) and, for each of ``means``, ``<name> sum`` and ``<name> count`` per category."""
+    parts = {f"{c} {name}": f"{name}(CAST({quoted(c)} AS DOUBLE))" for c in means for name in ("sum", "count")}
+    sums = [F.expr(sql).alias(alias) for alias, sql in parts.items()]
+    return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"), *sums)
+
+
+def overall_means(counts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """One row with a struct of the columns' means over all categories."""
+    cells = [F.try_divide(F.sum(quoted(f"{c} sum")), F.sum(quoted(f"{c} count"))).alias(c) for c in columns]
+    return counts.agg(F.struct(*cells).alias("means"))
 
 
 def group_rare(
     df: DataFrame,
     column: str,
     below: int = fv.RARE_BELOW,
-    source: DataFrame | None = None,
+    counts: DataFrame | None = None,
     salt_by: Sequence[str] | None = None,
-    broadcast_rows: int = BROADCAST_ROWS,
+    salts: int = SALTS,
 ) -> DataFrame:
-    """Add ``<column>_grouped``: values with fewer than ``below`` rows in ``source`` become ``other``; null stays null.
+    """Add ``<column>_grouped``: values with fewer than ``below`` rows in ``counts`` become ``other``; null stays null.
 
-    The rare values are counted once and stored; the join is chosen by their measured size. ``salt_by`` names the
-    columns that tell rows apart (by default all of them), for the case where that join has to shuffle.
+    ``counts`` are by default those of ``df``. Building the frame runs nothing: Spark broadcasts the rare values where
+    they turn out to be few, and shuffles else. For that case the rows of a category are dealt into ``salts`` parts by
+    the ``salt_by`` columns (by default all), and the rare values, never the hot ones, are copied to each.
     """
-    counts = KeyCounts.of(source if source is not None else df, [column])
-    rare = counts.table.filter((F.col("_n") < below) & F.col(column).isNotNull())
-    lookup = rare.select(column, F.lit(True).alias("_rare"))
-    if counts.fit_broadcast(broadcast_rows):
-        marked = df.join(F.broadcast(lookup), [column], "left")
-    else:
-        marked = left_join_unique(df, lookup, counts, salt_by or df.columns)
+    counted = counts if counts is not None else category_counts(df, column)
+    rare = counted.filter((F.col("rows") < below) & F.col(column).isNotNull())
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_salt")
+    lookup = rare.select(column, F.lit(True).alias("_rare"), copies)
+    salt = F.pmod(F.xxhash64(*(salt_by or df.columns)), F.lit(salts)).cast("int")
+    marked = df.withColumn("_salt", salt).join(lookup, [column, "_salt"], "left")
     grouped = F.when(F.col("_rare"), fv.OTHER).otherwise(F.col(column))
     return marked.select(*df.columns, grouped.alias(f"{column}_grouped"))

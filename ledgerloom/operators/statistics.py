@@ -56,9 +56,10 @@ def clip_sigma(df: DataFrame, columns: Sequence[str], sigmas: float = fv.SIGMAS)
     return with_stats.selectExpr(*kept, *raw, *map(flagged, columns))
 
 
-def impute_mean(df: DataFrame, columns: Sequence[str], source: DataFrame | None = None) -> DataFrame:
-    """Fill nulls with the column mean of ``source`` (by default the table itself). Filled columns are double."""
-    means = _one_row(source if source is not None else df, [f"avg({quoted(c)}) AS {quoted(c)}" for c in columns])
+def impute_mean(df: DataFrame, columns: Sequence[str], means: DataFrame | None = None) -> DataFrame:
+    """Fill nulls with the means of the columns, a struct in one row, by default the table's own. They become double."""
+    if means is None:
+        means = _one_row(df, [f"avg({quoted(c)}) AS {quoted(c)}" for c in columns])
     filled = [
         f"coalesce(CAST({quoted(c)} AS DOUBLE), {_STATS}.{quoted(c)}) AS {quoted(c)}" if c in columns else quoted(c)
         for c in df.columns

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions import features as fx
 from ledgerloom.operators import quality
-from ledgerloom.operators.categories import group_rare
+from ledgerloom.operators.categories import category_counts, group_rare, overall_means
 from ledgerloom.operators.dedup import first_per_key
 from ledgerloom.operators.statistics import clip_sigma, impute_mean
 
@@ -70,13 +70,15 @@ def financials(
 ) -> DataFrame:
     """Cap, flag, relate, log, group and impute, for one row per customer and snapshot.
 
-    Category counts and means are those of all silver rows; the other features follow from one row. So the rows are
-    deduplicated first, and only silver columns are shuffled for it.
+    Category counts and means are those of all silver rows, from one aggregate; the other features follow from one row.
+    So the rows are deduplicated first, and only silver columns are shuffled for it. Building the frame runs nothing.
     """
     features = financial_features(first_per_key(silver, fv.CUSTOMER_KEY), caps)
-    grouped = group_rare(features, fv.GROUPED_COLUMN, rare_below, source=silver, salt_by=fv.CUSTOMER_KEY)
-    means_from = silver.withColumns(capped(caps or fv.FINANCIAL_CAPS))
-    return impute_mean(grouped, fv.IMPUTED_COLUMNS, source=means_from)
+    counts = category_counts(
+        silver.withColumns(capped(caps or fv.FINANCIAL_CAPS)), fv.GROUPED_COLUMN, means=fv.IMPUTED_COLUMNS
+    )
+    grouped = group_rare(features, fv.GROUPED_COLUMN, rare_below, counts, salt_by=fv.CUSTOMER_KEY)
+    return impute_mean(grouped, fv.IMPUTED_COLUMNS, overall_means(counts, fv.IMPUTED_COLUMNS))
 
 
 def financial_rates(silver: DataFrame, caps: dict[str, float] | None = None) -> DataFrame:

@@ -80,12 +80,14 @@ def test_impute_mean(spark):
     assert rows(impute_mean(df, ["x"])) == [(1.0,), (2.5,), (4.0,)]
 
 
-@pytest.mark.parametrize("broadcast_rows", [100_000, 0], ids=["broadcast", "shuffle"])
-def test_rare_groups(spark, monkeypatch, broadcast_rows):
-    monkeypatch.setattr(lookup.left_join_unique, "__defaults__", (10,))
+@pytest.mark.parametrize("broadcast", ["10MB", "-1"], ids=["broadcast", "shuffle"])
+def test_rare_groups(spark, broadcast):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", broadcast)
     values = ["often"] * 120 + ["seldom"] * 99 + [None] * 5
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
-    got = Counter(r["v_grouped"] for r in group_rare(df, "v", broadcast_rows=broadcast_rows).collect())
+    got = Counter(r["v_grouped"] for r in group_rare(df, "v").collect())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert got == {"often": 120, "other": 99, None: 5}
 
 

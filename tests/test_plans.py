@@ -292,3 +292,12 @@ def test_training_plan_sorts_no_structs_into_groups(spark, mode):
     store = labels.label_gold(labels.label_silver(labels.label_bronze(raw)))
     table = training.training_table(store, made, mode)
     assert "SortAggregate" not in table._jdf.queryExecution().toString()
+
+
+def test_building_gold_financials_runs_nothing(spark):
+    raw = financial_table(spark, [fin_row("A", "2023-01-01")])
+    spark.sparkContext.setJobGroup("building", "no job may start in here")
+    table = gold.financials(silver.financials(raw))
+    started = list(spark.sparkContext.statusTracker().getJobIdsForGroup("building"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert started == [] and table.count() == 1

@@ -7,19 +7,18 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import ascii_lower, pick, positions
+from ledgerloom.llm.text import NOT_PLAIN, ascii_lower, pick, positions
 from ledgerloom.sources.scratch import stored
 
 WINDOW = 10
 SHINGLE = 5
 # Benchmark shingles that one pass over the documents looks for; a larger benchmark takes more passes
 BLOCK = 500_000
-_BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def plain_words(text: Column) -> Column:
     """Runs of ASCII letters, digits and non-ASCII characters, A-Z lowered; none for null."""
-    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), _BETWEEN), "")
+    return F.array_remove(F.split(ascii_lower(F.coalesce(text, F.lit(""))), NOT_PLAIN), "")
 
 
 def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:

@@ -7,8 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Blank characters as regular expressions and as they are
-BLANKS = r"[\x20\x09-\x0D]"
+
+
+def _any_of(codes) -> str:
+    """A character class that lists its members; Java looks these up in a table, ranges it tests one by one."""
+    return "[" + "".join(f"\\x{c:02X}" for c in codes) + "]"
+
+
+BLANKS = _any_of([0x20, *range(0x09, 0x0E)])
+# Runs of ASCII characters that are neither digits nor lower-case letters: what stands between plain words
+NOT_PLAIN = _any_of([*range(0x30), *range(0x3A, 0x61), *range(0x7B, 0x80)]) + "+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 

@@ -275,6 +275,15 @@ def test_close_lines(spark):
     assert {r.doc_id: r.n_removed for r in found.collect()} == {k: gone[k] for k, _ in pairs}
 
 
+def test_bits_of_very_long_lines(spark):
+    """One word many times has that word's hash for a SimHash, however many; beyond the most features, runs count."""
+    texts = ["la " * 30_000, "la " * 40_000 + "x", "la la la"]
+    table = lines.line_table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    bits = {r["doc_id"]: r["bits"] & (1 << 64) - 1 for r in table.collect()}
+    assert bits[0] == bits[2] == xxhash.xxh64_intdigest(b"la", 42)
+    assert bits[1] == xxhash.xxh64_intdigest(b"la la", 42)
+
+
 def test_without_repeats(docs, rows):
     kept = lines.without_repeats(docs)
     assert kept.columns == docs.columns

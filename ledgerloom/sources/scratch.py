@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,8 +26,24 @@ def shared_root(spark: SparkSession) -> str:
     return named
 
 
+_known: set[str] = set()
+
+
 def _run_folder(spark: SparkSession) -> str:
-    return f"{shared_root(spark).rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+    """The application's own folder, which is removed when the driver's Python ends."""
+    folder = f"{shared_root(spark).rstrip('/')}/ledgerloom-{spark.sparkContext.applicationId}"
+    if folder not in _known:
+        _known.add(folder)
+        path, conf = spark._jvm.org.apache.hadoop.fs.Path(folder), spark._jsc.hadoopConfiguration()
+        atexit.register(_remove, path, conf)
+    return folder
+
+
+def _remove(path, conf) -> None:
+    try:
+        path.getFileSystem(conf).delete(path, True)
+    except Exception:  # the JVM may be gone; what is left is in a folder named after the application
+        pass
 
 
 def scratch_folder(spark: SparkSession, name: str) -> str:

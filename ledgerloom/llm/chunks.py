@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerloom.llm.text import pick
+from ledgerloom.llm.identity import numbered
 from ledgerloom.sources.scratch import stored
 
 GEAR = np.random.default_rng(20_11).integers(0, 2**32, size=256, dtype=np.uint32)
@@ -19,7 +19,6 @@ MASK = np.uint32(0x1F << 12)
 LEAST, MOST = 16, 512
 # Duplicate chunks are cut out where they make up so many bytes in a row
 LEAST_RUN = 40
-_LAST = 2**63 - 1
 
 
 def gear_hashes(data: np.ndarray) -> np.ndarray:
@@ -137,20 +136,20 @@ def repeated_chunks(
     chunk is a repeat where a document with a smaller key, or its own text further up, has one of the same 128-bit
     digest. ``spans`` are the runs (start, end) of ``least_run`` or more bytes of such chunks.
 
-    Null and empty texts have no chunks. Keys are integers; a null one comes last; rows that share a key count as one
-    document, whose own copies stay. Digests are counted from each task on, and only those that occur more than once
+    Null and empty texts have no chunks. Keys are integers; a null one comes last; repeated rows count as one document,
+    whose own copies stay; different texts under one key, or none, are documents of their own. Digests are counted from each task on, and only those that occur more than once
     are joined back to the chunks.
     """
-    narrow = pick(docs, doc_id=key, text=text)
-    cut = chunk_table(narrow, least, most)
-    order = F.coalesce("doc_id", F.lit(_LAST))
+    narrow = numbered(docs, text, key)
+    cut = chunk_table(narrow.select(F.col("row").alias("doc_id"), "text"), least, most)
+    order = F.col("doc_id")
     counted = cut.groupBy("h1", "h2").agg(F.min(order).alias("keep"), F.count(F.lit(1)).alias("n"))
     shared = stored(counted.filter(F.col("n") > 1).select("h1", "h2", "keep"), "shared-chunks")
     met = cut.join(shared, ["h1", "h2"]).filter((order > F.col("keep")) | F.col("again"))
     per_doc = met.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("found"))
     runs = per_doc.select(F.col("doc_id").alias("of"), merged(F.col("found"), least_run).alias("runs"))
-    sized = narrow.select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    joined = sized.join(runs, F.col("doc_id").eqNullSafe(F.col("of")), "left")
+    sized = narrow.select("doc_id", "row", F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
+    joined = sized.join(runs, F.col("row") == F.col("of"), "left")
     spans = F.coalesce("runs", F.array().cast("array<struct<start:int,end:int>>"))
     removed = F.aggregate(spans, F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["start"]))
     return joined.select(

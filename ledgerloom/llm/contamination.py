@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerloom.llm.identity import row_identity
 from ledgerloom.llm.text import NOT_PLAIN, ascii_lower, pick, positions
 from ledgerloom.sources.scratch import stored
 
@@ -121,20 +122,22 @@ def contaminated(
 
     ``n_hit`` counts the words inside any occurrence of a window, ``item_ids`` are the items with occurring windows,
     sorted as strings. Null texts have no words and are not contaminated; items that are null or without words match
-    nothing, and so does an empty benchmark. Repeated rows give repeated results; rows that share a key share its hits.
+    nothing, and so does an empty benchmark. Repeated rows give repeated results; different texts under one key, or none,
+    are judged apart.
     Items without an id count under the empty name.
     """
-    narrow = pick(docs, doc_id=key, text=text)
+    narrow = pick(docs, doc_id=key, text=text).withColumn("row", row_identity(F.col("doc_id"), F.col("text")))
     bench = pick(items, item_id=item_key, text=item_text)
     bench = bench.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id"), "text")
-    found = occurrences(narrow, bench, window, shingle, block).groupBy("doc_id").agg(
+    rows = narrow.select(F.col("row").alias("doc_id"), "text")
+    found = occurrences(rows, bench, window, shingle, block).groupBy("doc_id").agg(
         F.collect_set(F.struct("start", "size")).alias("spans"), F.collect_set("item_id").alias("items")
     )
     summed = found.select(
-        F.col("doc_id").alias("hit_id"), _covered(F.sort_array("spans")).alias("hit"), F.sort_array("items").alias("items")
+        F.col("doc_id.h1").alias("h1"), F.col("doc_id.h2").alias("h2"), _covered(F.sort_array("spans")).alias("hit"), F.sort_array("items").alias("items")
     )
-    base = narrow.select("doc_id", F.size(plain_words(F.col("text"))).cast("long").alias("n_words"))
-    joined = base.join(summed, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left")
+    base = narrow.select("doc_id", "row.h1", "row.h2", F.size(plain_words(F.col("text"))).cast("long").alias("n_words"))
+    joined = base.join(summed, ["h1", "h2"], "left")
     n_hit, ids = F.coalesce("hit", F.lit(0)).cast("long"), F.coalesce("items", F.array().cast("array<string>"))
     return joined.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"), ids.alias("item_ids"),
@@ -144,7 +147,9 @@ def contaminated(
 
 def clean(docs: DataFrame, items: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` without any occurrence of an item's window; their columns stay as they are."""
-    narrow = pick(docs, doc_id=key, text=text)
+    of = row_identity(F.col(f"`{key}`"), F.col(f"`{text}`"))
+    narrow = docs.select(of.alias("doc_id"), F.col(f"`{text}`").alias("text"))
     bench = items.select(F.lit("").alias("item_id"), F.col("text"))
-    hit = occurrences(narrow, bench).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, F.col(f"`{key}`").eqNullSafe(F.col("__hit")), "left_anti")
+    hit = occurrences(narrow, bench).select(F.col("doc_id.h1").alias("__h1"), F.col("doc_id.h2").alias("__h2")).distinct()
+    marked = docs.withColumns({"__h1": of["h1"], "__h2": of["h2"]})
+    return marked.join(hit, ["__h1", "__h2"], "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.contamination import plain_words
+from ledgerloom.llm.identity import row_identity
 from ledgerloom.llm.text import let, pick, positions
 from ledgerloom.sources.scratch import stored
 
@@ -104,8 +105,8 @@ def find(
     for shorter templates) found in the window and one step around it, the best of a document's windows; ``start`` is
     where that window begins, in words from 0.
 
-    Documents without a license have no row, so neither have null and empty texts; rows that share a key count as one
-    document. Templates that are null or without words match nothing.
+    Documents without a license have no row, so neither have null and empty texts; repeated rows count as one
+    document, different texts under one key, or none, as several. Templates that are null or without words match nothing.
     """
     spark = docs.sparkSession
     known = _templates(templates if templates is not None else template_table(spark), shingle)
@@ -115,8 +116,9 @@ def find(
         raise ValueError(f"templates have {size} shingles, more than {MOST_SHINGLES}")
     widths = sorted(r[0] for r in known.select("width").distinct().collect())
     narrow = pick(docs, doc_id=key, text=text)
+    narrow = narrow.withColumn("doc_id", row_identity(F.col("doc_id"), F.col("text")))
     if not widths:
-        return narrow.limit(0).select("doc_id", F.lit("").alias("license"), F.lit(0.0).alias("containment"),
+        return narrow.limit(0).select(F.col("doc_id.key").alias("doc_id"), F.lit("").alias("license"), F.lit(0.0).alias("containment"),
                                       F.lit(0).alias("start"))
     wanted = known.select("width", "m", "step", F.explode("shingles").alias("h")).distinct()
 
@@ -146,4 +148,4 @@ def find(
     best = judged.groupBy("doc_id", "license").agg(
         F.max(F.struct("containment", (-F.col("start")).alias("back"))).alias("best")
     )
-    return best.select("doc_id", "license", "best.containment", (-F.col("best.back")).alias("start"))
+    return best.select(F.col("doc_id.key").alias("doc_id"), "license", "best.containment", (-F.col("best.back")).alias("start"))

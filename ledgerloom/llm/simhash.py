@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.components import components
+from ledgerloom.llm.identity import digests, row_identity
 from ledgerloom.llm.text import pick
 from ledgerloom.sources.scratch import stored
 
@@ -196,6 +197,17 @@ def close_links(distinct: DataFrame, most: int = MOST_BITS, blocks: int = BLOCKS
     return sorted_groups.mapInArrow(batches, "a long, b long")
 
 
+def _members(prints: DataFrame, most: int) -> DataFrame:
+    """(fp, component_id): the least of the not-null ids of each fingerprint's group, from stored (doc_id, fp)."""
+    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
+    found = components(close_links(distinct.select("fp", F.col("fp").alias("id")), most))
+    grouped = distinct.join(found.withColumnRenamed("node", "fp"), "fp")
+    least = grouped.groupBy("component").agg(F.min("id").alias("least"))
+    named = found.join(least, "component").select(F.col("node").alias("fp"), "least")
+    joined = distinct.join(named, "fp", "left")
+    return stored(joined.select("fp", F.coalesce("least", "id").alias("component_id")), "members")
+
+
 def near_duplicates(
     docs: DataFrame, text: str = "text", key: str = "doc_id", width: int = SHINGLE, most: int = MOST_BITS
 ) -> DataFrame:
@@ -206,12 +218,7 @@ def near_duplicates(
     give repeated rows; a null key is never a component's name unless all of the component's keys are null.
     """
     prints = stored(fingerprints(docs, text, key, width), "fingerprints")
-    distinct = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("id")), "distinct-fingerprints")
-    named = distinct.filter(F.col("id").isNotNull())
-    found = components(close_links(named, most)).withColumnRenamed("node", "id")
-    members = stored(
-        distinct.join(found, "id", "left").select("fp", F.coalesce("component", "id").alias("component_id")), "members"
-    )
+    members = _members(prints, most)
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return prints.join(members, "fp", "left").select("doc_id", hexed.alias("fingerprint"), "component_id")
 
@@ -219,11 +226,15 @@ def near_duplicates(
 def one_per_group(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that stay: of each group of near copies the one with the least key.
 
-    Repeated rows of one key are copies too and one of them stays, the first by its text. All columns pass through. A
-    row without a key stays only where its whole group has none.
+    Repeated rows are copies too and one of them stays; different texts under one key, or none, are judged apart. All
+    columns pass through. A row without a key stays only where its whole group has none, the first by its digest.
     """
-    groups = near_duplicates(docs, text, key)
-    first = groups.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(first, docs[f"`{key}`"].eqNullSafe(first["doc_id"]), "left_semi")
-    order = Window.partitionBy(F.col(f"`{key}`")).orderBy(F.xxhash64(F.col(f"`{text}`")))
-    return kept.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") == 1).drop("__n")
+    of, content = F.col(f"`{key}`"), F.col(f"`{text}`")
+    rows = docs.select(row_identity(of, content).alias("doc_id"), content.alias("text"))
+    members = _members(stored(fingerprints(rows), "fingerprints"), MOST_BITS)
+    first = members.select(F.col("component_id.h1").alias("__h1"), F.col("component_id.h2").alias("__h2")).distinct()
+    marked = docs.withColumns({f"__{n}": h for n, h in digests(of, content).items()})
+    kept = marked.join(first, ["__h1", "__h2"], "left_semi")
+    order = Window.partitionBy("__h1", "__h2").orderBy("__h1")
+    numbered = kept.withColumn("__n", F.row_number().over(order)).filter(F.col("__n") == 1)
+    return numbered.select(*[F.col(f"`{c}`") for c in docs.columns])

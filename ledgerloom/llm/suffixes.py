@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom.llm.chunks import merged
-from ledgerloom.llm.text import pick
+from ledgerloom.llm.identity import numbered
 from ledgerloom.sources.scratch import stored
 
 LENGTH = 50
@@ -30,7 +30,6 @@ HOT = 20_000
 FLUSH = 1_000_000
 # Most keys of touched documents that are broadcast to keep the other texts from being shuffled
 BROADCAST_KEYS = 1_000_000
-_LAST = 2**63 - 1
 _MIX = np.random.default_rng(50).integers(0, 2**64, size=256, dtype=np.uint64)
 _LOW = np.uint64(2**48 - 1)
 
@@ -75,10 +74,6 @@ def _codes(hashes: np.ndarray, buckets: int) -> np.ndarray:
     return (bucket << np.uint64(48) | hashes & _LOW).view(np.int64)
 
 
-def _key_type(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("doc_id"), "text")
-
-
 def shared_anchors(docs: DataFrame, buckets: int, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(code, doc_id): the anchors that more than one document has, once per document.
 
@@ -337,28 +332,29 @@ def remove_repeats(
     Removed is every byte covered by a ``length``-byte string that also starts in a document with a smaller key, judged
     on the input as UTF-8 bytes; ``spans`` are the maximal removed runs (start, end), ``kept_sha256`` digests the rest.
 
-    Null texts are empty; keys are integers and a null one comes last; rows that share a key never repeat each other.
-    Without documents there are no rows.
+    Null texts are empty; keys are integers and a null one comes last. Repeated rows never repeat each other; different
+    texts under one key, or none, are documents of their own, in the order of their digests. Without documents there are no rows.
     """
     spark = docs.sparkSession
-    given = pick(docs, doc_id=key, text=text)
-    narrow = _key_type(given)
+    given = numbered(docs, text, key)
+    narrow = given.select(F.col("row").alias("doc_id"), "text")
     buckets = min(32_767, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = stored(shared_anchors(narrow, buckets, length, gram), "shared-anchors")
     suffixes = _dealt(narrow, shared, buckets, length, gram, hot)
     spans = repeated_spans(suffixes, length)
     per_doc = spans.groupBy("doc_id").agg(F.sort_array(F.collect_set(F.struct("start", "size"))).alias("found"))
     runs = stored(per_doc.select(F.col("doc_id").alias("of"), merged(F.col("found"), 1).alias("runs")), "repeated-runs")
-    order = F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST))
+    order = F.col("row")
     ids = runs.select("of")
     few = runs.count() <= BROADCAST_KEYS
     touched = given.join(F.broadcast(ids), order == F.col("of"), "left_semi") if few else given
-    whole = given.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).select(
+    whole = given.select("doc_id", "row", F.coalesce("text", F.lit("")).alias("text")).select(
         "doc_id",
+        "row",
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.sha2("text", 256).alias("kept_sha256"),
     )
-    untouched = whole.join(F.broadcast(ids) if few else ids, order == F.col("of"), "left_anti")
+    untouched = whole.join(F.broadcast(ids) if few else ids, order == F.col("of"), "left_anti").drop("row")
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:

@@ -14,7 +14,8 @@ _HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "random")
 LEAST_ASSIGN, LEAST_ACCESS = 8, 16
 LEAST_RANDOM = 20
-_TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+# An equals sign ends a name before a token and pads one at its end, it is never inside
+_TOKEN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+={0,2}"
 # Alphabets in the order they are tried, the smallest first
 ALPHABETS = (
     ("hex", "0123456789abcdef"),

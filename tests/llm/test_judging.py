@@ -182,6 +182,21 @@ def test_secrets(spark):
     assert random_spans == [token]
 
 
+def test_secrets_behind_names(spark):
+    rng = random.Random(6)
+    values = ["".join(rng.choices(chars, k=k)) for chars, k in [("0123456789abcdef", 24), ("0123456789abcdef", 31),
+              ("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 32)]]
+    values.append("".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=42)) + "==")
+    forms = ["sess={} and", "DB_AUTH={}", "https://some.host/path?sig={}&x=1", "SEED={}\n", "a=={};", "{}"]
+    hidden = [(form.format(v), v) for form in forms for v in values]
+    plain = [sentence(rng, 40) + " " + "".join(rng.choices("kalomiret", k=30)) for _ in range(30)]
+    texts = [t for t, _ in hidden] + plain
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r["doc_id"]: [texts[r["doc_id"]][s["start"] : s["end"]] for s in r["spans"]] for r in as_dicts(secrets.scan(docs))}
+    assert [found[i] for i in range(len(hidden))] == [[v] for _, v in hidden]
+    assert not any(found[i] for i in range(len(hidden), len(texts)))
+
+
 def test_secrets_of_odd_tables(docs, no_docs, clashing, rows):
     assert secrets.scan(no_docs).count() == 0
     assert secrets.scan(docs).count() == len(rows)

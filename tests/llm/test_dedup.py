@@ -275,6 +275,21 @@ def test_close_lines(spark):
     assert {r.doc_id: r.n_removed for r in found.collect()} == {k: gone[k] for k, _ in pairs}
 
 
+def test_short_lines_and_unspaced_scripts(spark):
+    long = "這是一個沒有空格的句子用來測試重複的行"
+    thai = "ภาษาไทยไม่มีช่องว่างระหว่างคำ"
+    texts = [
+        f"Thank you!\nMenu\n1.\n{long}\n{thai}\nこんにちは",
+        f"thank you\n1.\nmenu\n}}\n{long}",
+        f"}}\n{thai}\nこんにちは。\nこんにちは\nother",
+        f"一{long}\n全然違う行がここにあります",
+    ]
+    found = lines.repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.doc_id: r.removed for r in found.collect()} == {0: [], 1: [0, 2, 4], 2: [1, 3], 3: []}
+    words = spark.createDataFrame([("Ab 漢字x ไทย",)], "line string").select(lines.line_words("line").alias("w")).first().w
+    assert words == ["ab", "漢", "字", "x", "ไ", "ท", "ย"]
+
+
 def test_bits_of_very_long_lines(spark):
     """One word many times has that word's hash for a SimHash, however many; beyond the most features, runs count."""
     texts = ["la " * 30_000, "la " * 40_000 + "x", "la la la"]

@@ -8,7 +8,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chunks, contamination, licenses, lines, mixing, rules, secrets, simhash, suffixes, toxicity
+from ledgerloom.llm import (
+    chunks,
+    collocations,
+    contamination,
+    licenses,
+    lines,
+    mixing,
+    rules,
+    secrets,
+    simhash,
+    subwords,
+    suffixes,
+    toxicity,
+    tries,
+)
 from ledgerloom.llm.oracle import SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,12 +93,42 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    scored = subwords.score(docs, subwords.fit(docs, _table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out().alias("held_out"), "score", "predicted")
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tries.conversation_trie(_table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
 
 
 def corpus_queries() -> dict[str, Query]:
-    return {q.__name__: q for q in (op1_chunks, op2_quality_rules, op3_simhash, op4_suffix_repeats, op5_decontaminate, op6_secrets, op7_fuzzy_lines, op8_licenses, op9_mix, op10_toxicity, pipeline)}
+    registered = (
+        op1_chunks,
+        op2_quality_rules,
+        op3_simhash,
+        op4_suffix_repeats,
+        op5_decontaminate,
+        op6_secrets,
+        op7_fuzzy_lines,
+        op8_licenses,
+        op9_mix,
+        op10_toxicity,
+        op11_quality_classifier,
+        op12_collocations,
+        op13_conversation_trie,
+        pipeline,
+    )
+    return {q.__name__: q for q in registered}
 
 
 def corpus_sql() -> dict[str, str]:

@@ -110,7 +110,7 @@ FINANCIALS = {
     "Payment_of_Min_Amount": """CASE WHEN o_orderkey % 3 = 0 THEN 'NM' WHEN o_orderkey % 59 = 0 THEN '_'
         ELSE 'Yes' END""",
     "snapshot_date": """CASE WHEN o_orderkey % 173 = 9 THEN '95-01'
-        WHEN CAST(date_trunc('month', o_orderdate) AS DATE) = DATE '1994-05-01' THEN '1994-06-01'
+        WHEN CAST(date_trunc('month', o_orderdate) AS DATE) = DATE '1997-05-01' THEN '1997-06-01'
         ELSE CAST(CAST(date_trunc('month', o_orderdate) AS DATE) AS STRING) END""",
 }
 

@@ -371,6 +371,51 @@ def _quartile_ranks(relation: str, columns) -> str:
     )
 
 
+def _misfit_lines(short: str) -> str:
+    """Customers whose number ends in 3 have a field too many, those with 7 one too few."""
+    columns = list(RAW_TABLES[SHORT[short]][1])
+    digit = "CAST(regexp_extract(Customer_ID, '([0-9]+)', 1) AS BIGINT) % 10"
+    return f"""SELECT nullif({columns[0]}, '') AS first_field, CASE {digit} WHEN 3 THEN {len(columns) + 1} ELSE {len(columns) - 1} END
+        AS fields, {len(columns)} AS expected, CASE {digit} WHEN 3 THEN 'too many fields' ELSE 'too few fields' END AS reason
+        FROM raw_{short} WHERE {digit} IN (3, 7)"""
+
+
+def _accounts(short: str) -> str:
+    name = SHORT[short]
+    parts = {"lines": "", "rejects": "WHERE d IN (3, 7)", "bronze": "WHERE d NOT IN (3, 7)"}
+    rows = f"(SELECT CAST(regexp_extract(Customer_ID, '([0-9]+)', 1) AS BIGINT) % 10 AS d FROM raw_{short})"
+    return _union(f"SELECT '{name}' AS \"table\", '{k}' AS \"where\", count(*) AS rows FROM {rows} {w}" for k, w in parts.items())
+
+
+def _schema_report() -> str:
+    """By the remainder of the month: 0 has no balance, 1 has a channel, 2 has two typed columns, the oldest has 3."""
+    casts = {"string": str, "date": _date, "int": _int, "float": "TRY_CAST({} AS DOUBLE)".format}
+    typed = {"installment_num": "int", "overdue_amt": "double"}
+    parts = []
+    for name, wanted in [*fv.LABEL_TYPES.items(), ("channel", None)]:
+        if name == "snapshot_date":
+            continue
+        status, stored, lost = "'same'", "'string'", "0"
+        if name == "channel":
+            status, stored = "CASE WHEN g = 1 THEN 'added' ELSE 'missing' END", "CASE WHEN g = 1 THEN 'string' END"
+        else:
+            lost = f"count_if({name} IS NOT NULL AND {casts[wanted](name)} IS NULL)"
+        if name == "balance":
+            status, stored = "CASE WHEN g = 0 THEN 'missing' ELSE 'same' END", "CASE WHEN g <> 0 THEN 'string' END"
+            lost = f"CASE WHEN g = 0 THEN 0 ELSE {lost} END"
+        if name in typed:
+            status = "CASE WHEN g = 2 THEN 'widened' ELSE 'same' END"
+            stored = f"CASE WHEN g = 2 THEN '{typed[name]}' ELSE 'string' END"
+            lost = f"CASE WHEN g = 2 THEN 0 ELSE {lost} END"
+        wanted = f"'{wanted}'" if wanted else "CAST(NULL AS VARCHAR)"
+        parts.append(
+            f"""SELECT day AS snapshot_date, '{name}' AS "column", {status} AS status, {stored} AS stored_type,
+              'string' AS merged_type, {wanted} AS wanted_type, CAST({lost} AS BIGINT) AS not_castable FROM dated GROUP BY day, g"""
+        )
+    dated = f"SELECT * EXCLUDE (snapshot_date), {_date('snapshot_date')} AS day, month(day) % 4 AS g FROM raw_loan"
+    return f"WITH dated AS (SELECT * FROM ({dated}) WHERE day IS NOT NULL) {_union(parts)}"
+
+
 def _long(report: str, sql: str, named: str, metrics) -> str:
     """A report as rows (stage, dataset, report, column, metric, value)."""
     stage, dataset, name = report.split("/")
@@ -427,6 +472,7 @@ def all_sql() -> dict[str, str]:
         found[f"dup_keys_{short}"] = _duplicates(silver, KEYS[short])
         found[f"missing_months_{short}"] = _missing_months(silver)
         found[f"range_profile_{short}"] = _ranges(silver, RANGED[short])
+        found[f"csv_rejects_{short}"] = _misfit_lines(short)
         found[f"csv_bronze_{short}"] = "SELECT {} FROM raw_{}".format(
             ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_TABLES[SHORT[short]][1]), short
         )
@@ -507,7 +553,13 @@ def all_sql() -> dict[str, str]:
         "feature_quartiles_loan": _quartile_ranks("gold_loan", fv.LOAN_SUMMARY_COLUMNS),
         "training_exact": _training(as_of=False),
         "training_as_of": _training(as_of=True),
+        "csv_accounts": _union(map(_accounts, SHORT)),
         "label_snapshots": "SELECT * FROM labels_30_6",
+        "label_snapshots_evolved": """SELECT loan_id, Customer_ID, CASE WHEN dpd >= 30 THEN 1 ELSE 0 END AS label,
+            '30dpd_6mob' AS label_def, snapshot_date, CASE WHEN month(snapshot_date) % 4 = 0 THEN 0::REAL ELSE balance END AS balance,
+            CASE WHEN month(snapshot_date) % 4 = 1 THEN 'c' || length(loan_id) END AS channel
+            FROM lms_silver WHERE mob = 6 AND snapshot_date IS NOT NULL""",
+        "schema_report_loan": _schema_report(),
         "prune_empty": """SELECT 'snapshot_date=' || CAST(snapshot_date AS VARCHAR) AS folder, count(*) AS rows,
             'kept' AS status FROM labels_30_6 GROUP BY snapshot_date
             UNION ALL SELECT * FROM (VALUES ('snapshot_date=1900-01-01', 0, 'deleted'),

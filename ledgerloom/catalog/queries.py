@@ -7,20 +7,24 @@ maths library. Rounding is part of the query only, never of the operators.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.catalog.adapters import RAW_TABLES, raw_table
+from ledgerloom.functions import repayment
+from ledgerloom.functions.casting import cast_to
 from ledgerloom.operators import quality
 from ledgerloom.operators.categories import category_counts, group_rare
 from ledgerloom.operators.dedup import first_per_key
 from ledgerloom.operators.months import missing_months, months_between
 from ledgerloom.operators.statistics import impute_mean, moments
 from ledgerloom.plans import gold, labels, pipeline, silver, training
-from ledgerloom.sources import folders, tables
+from ledgerloom.sources import evolution, folders, tables
 from ledgerloom.sources.scratch import scratch_folder
+from ledgerloom.sources.store import SnapshotStore
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -248,6 +252,46 @@ def _raw_folder(spark: SparkSession, sf_dir: str, *names: str) -> str:
     return folder
 
 
+def _untidy_csv(spark: SparkSession, sf_dir: str, name: str) -> str:
+    """A folder with the table's CSV, in which some lines have a field more or less than the header."""
+    raw, folder = raw_table(spark, sf_dir, name), scratch_folder(spark, "untidy")
+    file = next(f for f, t in fv.RAW_FILES.items() if t == name)
+    kept = {"ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    line = F.to_csv(F.struct(*raw.columns), kept)
+    digit = F.expr(f"CAST(regexp_extract({fv.CUSTOMER}, '([0-9]+)', 1) AS BIGINT) % 10")
+    longer, shorter = F.concat(line, F.lit(",surplus")), F.regexp_replace(line, ",[^,]*$", "")
+    lines = raw.select(F.when(digit == 3, longer).when(digit == 7, shorter).otherwise(line).alias(",".join(raw.columns)))
+    # a single column that is neither split nor quoted
+    lines.write.options(header=True, sep="\u0001", quote="", **kept).csv(f"{folder}/{file}")
+    return folder
+
+
+def _checked_ingest(spark: SparkSession, sf_dir: str, *names: str) -> str:
+    target = scratch_folder(spark, "bronze")
+    for name in names:
+        files = {f: t for f, t in fv.RAW_FILES.items() if t == name}
+        tables.ingest(spark, _untidy_csv(spark, sf_dir, name), target, files)
+    return target
+
+
+def _csv_rejects(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rejects = tables.read_rejects(spark, _checked_ingest(spark, sf_dir, name), name)
+    return rejects.select("first_field", "fields", "expected", "reason")
+
+
+def csv_accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """For every table its lines, the rows in bronze and the rejects: no line gets lost."""
+    target = _checked_ingest(spark, sf_dir, *RAW_TABLES)
+    parts = []
+    for name in RAW_TABLES:
+        bronze = tables.read_parquet(spark, f"{target}/{name}").select(F.lit("bronze").alias("where"))
+        rejects = tables.read_rejects(spark, target, name).select(F.lit("rejects").alias("where"))
+        raw = raw_table(spark, sf_dir, name).select(F.lit("lines").alias("where"))
+        counted = raw.unionAll(bronze).unionAll(rejects).groupBy("where").agg(F.count(F.lit(1)).alias("rows"))
+        parts.append(counted.select(F.lit(name).alias("table"), "where", "rows"))
+    return reduce(DataFrame.unionAll, parts)
+
+
 def _bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     source, target = _raw_folder(spark, sf_dir, name), scratch_folder(spark, "bronze")
     tables.ingest(spark, source, target, {f: t for f, t in fv.RAW_FILES.items() if t == name})
@@ -268,6 +312,39 @@ def label_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return labels.build_label_store(spark, source, root, dates[: len(dates) // 2])
 
 
+def _evolved_store(spark: SparkSession, sf_dir: str) -> SnapshotStore:
+    """Loan snapshots of four shapes, by month: without a column, with one more, with typed columns, as they are."""
+    loans = labels.label_bronze(raw_table(spark, sf_dir, "loan_daily"))
+    store = SnapshotStore(spark, scratch_folder(spark, "evolved"))
+    days = _loan_months(spark, sf_dir)
+    shapes: dict[int, Callable[[DataFrame], DataFrame]] = {
+        0: lambda df: df.drop("balance"),
+        1: lambda df: df.withColumn("channel", F.concat(F.lit("c"), F.length(fv.LOAN).cast("string"))),
+        2: lambda df: df.withColumns(
+            {"installment_num": cast_to("installment_num", "int"), "overdue_amt": cast_to("overdue_amt", "double")}
+        ),
+        3: lambda df: df,
+    }
+    for k, shape in shapes.items():
+        some = [d for d in days if int(d[5:7]) % len(shapes) == k]
+        store.write(shape(tables.at_snapshot(loans, *some)), some, gather=True)
+    return store
+
+
+def label_snapshots_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labels of snapshots whose columns differ, with a column that some lack and one that only some have."""
+    loans = labels.label_silver(evolution.read_merged(_evolved_store(spark, sf_dir)))
+    own = loans.select(fv.LOAN, fv.CUSTOMER, fv.SNAPSHOT, "mob", "dpd", "balance", "channel")
+    named = own.filter(F.col("mob") == fv.MOB).withColumns(
+        {"label": repayment.default_label(F.col("dpd"), fv.DPD), "label_def": F.lit(repayment.label_name(fv.DPD, fv.MOB))}
+    )
+    return named.select(*fv.LABEL_COLUMNS, "balance", "channel")
+
+
+def schema_report_loan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return evolution.schema_report(_evolved_store(spark, sf_dir), fv.LABEL_TYPES)
+
+
 def prune_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label folders, two of them empty, after the removal of the empty ones."""
     root, store = scratch_folder(spark, "labels"), label_store(spark, sf_dir)
@@ -327,6 +404,7 @@ def _per_table() -> dict[str, Query]:
         found[f"range_profile_{short}"] = of_silver(
             lambda df, ranges=ranges: rounded(quality.range_profile(df, ranges(df)), "min", "max", "mean")
         )
+        found[f"csv_rejects_{short}"] = lambda spark, sf_dir, name=name: _csv_rejects(spark, sf_dir, name)
         found[f"csv_bronze_{short}"] = lambda spark, sf_dir, name=name: _bronze(spark, sf_dir, name)
     return found
 
@@ -365,7 +443,10 @@ def all_queries() -> dict[str, Query]:
         feature_quartiles_loan,
         training_exact,
         training_as_of,
+        csv_accounts,
         label_snapshots,
+        label_snapshots_evolved,
+        schema_report_loan,
         prune_empty,
         full_run,
         full_run_as_of,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
+import hashlib
+import uuid
+
 from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,6 +28,58 @@ def delete(spark: SparkSession, path: str) -> bool:
     return fs.delete(target, True)
 
 
+def delete_empty(spark: SparkSession, path: str) -> bool:
+    """Delete a folder that has nothing in it."""
+    fs, target = _file_system(spark, path)
+    return fs.exists(target) and not len(fs.listStatus(target)) and fs.delete(target, False)
+
+
+def files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files in a folder, without hidden and temporary ones."""
+    fs, target = _file_system(spark, path)
+    if not fs.exists(target) or not fs.getFileStatus(target).isDirectory():
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(target) if s.isFile()]
+    return sorted(n for n in names if not n.startswith(("_", ".")))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small text file, such as a manifest."""
+    fs, target = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file under a name that is not taken: whole beside it first, then renamed."""
+    fs, target = _file_system(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}-{uuid.uuid4().hex}")
+    stream = fs.create(part, False)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+    if fs.exists(target) or not fs.rename(part, target):
+        fs.delete(part, False)
+        raise FileExistsError(f"{path} is there already: something else has written it meanwhile")
+
+
+def listing_digest(spark: SparkSession, *paths: str) -> str:
+    """A digest of the names, sizes and times of all files below some paths; nothing is read. A missing path counts."""
+    found = []
+    for path in paths:
+        fs, target = _file_system(spark, path)
+        listed = fs.listFiles(target, True) if fs.exists(target) else None
+        while listed is not None and listed.hasNext():
+            status = listed.next()
+            found.append(f"{status.getPath()}|{status.getLen()}|{status.getModificationTime()}")
+        found.append(f"{path}|{listed is not None}")
+    return hashlib.sha256("\n".join(sorted(found)).encode()).hexdigest()
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     """Names of the data folders in a folder; hidden and temporary ones are left out."""
     fs, target = _file_system(spark, path)

@@ -7,11 +7,15 @@ from datetime import date
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ledgerloom import fixed_values as fv
+from ledgerloom.functions.casting import quoted
 from ledgerloom.sources import folders
 
+CORRUPT = "_corrupt_record"
+TOO_MANY, TOO_FEW, UNREADABLE = "too many fields", "too few fields", "unreadable"
+
 
 def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """CSV with a header row, every column text. Only the header line is looked at to name the columns.
@@ -21,6 +25,38 @@ def read_csv_text(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return spark.read.option("header", True).option("enforceSchema", False).csv(path)
 
 
+def read_csv_checked(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
+    """As ``read_csv_text``, with one more column: the whole line where it does not fit the header, else null.
+
+    All fields are read whatever is selected later, as what is not read cannot be missed.
+    """
+    header = read_csv_text(spark, path).schema
+    checked = StructType([*header.fields, StructField(CORRUPT, StringType())])
+    reader = spark.read.schema(checked).option("columnNameOfCorruptRecord", CORRUPT).option("columnPruning", False)
+    return reader.option("header", True).option("enforceSchema", False).csv(path)
+
+
+def fitting(checked: DataFrame) -> DataFrame:
+    """The rows that fit the header, without the column for those that do not."""
+    return checked.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+
+
+def misfits(checked: DataFrame) -> DataFrame:
+    """(record, first_field, fields, expected, reason) of the lines that do not fit the header."""
+    expected = len(checked.columns) - 1
+    # what is in quotes holds no separators
+    bare = F.regexp_replace(CORRUPT, r'"(?:[^"\\]|\\.|"")*"', "")
+    fields = F.length(bare) - F.length(F.replace(bare, F.lit(","), F.lit(""))) + 1
+    reason = F.when(fields > expected, TOO_MANY).when(fields < expected, TOO_FEW).otherwise(UNREADABLE)
+    return checked.filter(F.col(CORRUPT).isNotNull()).select(
+        F.col(CORRUPT).alias("record"),
+        F.col(quoted(checked.columns[0])).alias("first_field"),
+        fields.cast("int").alias("fields"),
+        F.lit(expected).alias("expected"),
+        reason.alias("reason"),
+    )
+
+
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -58,9 +94,48 @@ def read_snapshots(spark: SparkSession, path: str, schema: StructType | str | No
     return reader.parquet(path)
 
 
-def ingest(spark: SparkSession, source: str, target: str, files: Mapping[str, str] | None = None) -> list[str]:
-    """Turn every raw CSV into a bronze Parquet table; returns the table names."""
+REJECT, PAD = "reject", "pad"
+
+
+def ingest(
+    spark: SparkSession, source: str, target: str, files: Mapping[str, str] | None = None, misfit: str = REJECT
+) -> list[str]:
+    """Turn every raw CSV into a bronze Parquet table; returns the table names.
+
+    A line with more or fewer fields than the header goes to the table's rejects, see ``read_rejects``, and not to
+    bronze; with ``pad`` it stays in bronze, cut or filled up with nulls. The lines of a file are read once; only where
+    some did not fit, they are read again for these.
+    """
+    if misfit not in (REJECT, PAD):
+        raise ValueError(f"misfit is {REJECT} or {PAD}, not {misfit}")
     mapping = files or fv.RAW_FILES
     for file, table in mapping.items():
-        overwrite_parquet(read_csv_text(spark, f"{source}/{file}"), f"{target}/{table}")
+        if misfit == PAD:
+            overwrite_parquet(read_csv_text(spark, f"{source}/{file}"), f"{target}/{table}")
+        else:
+            _ingest_checked(spark, f"{source}/{file}", f"{target}/{table}", rejects_path(target, table))
     return list(mapping.values())
+
+
+def _ingest_checked(spark: SparkSession, file: str, table: str, rejects: str) -> None:
+    checked, seen = read_csv_checked(spark, file), Observation()
+    counted = checked.observe(seen, F.count(CORRUPT).alias("misfits"))
+    overwrite_parquet(fitting(counted), table)
+    folders.delete(spark, rejects)
+    if seen.get["misfits"]:
+        overwrite_parquet(misfits(checked), rejects)
+
+
+def rejects_path(target: str, table: str) -> str:
+    return f"{target.rstrip('/')}_rejects/{table}"
+
+
+REJECTS = "record string, first_field string, fields int, expected int, reason string"
+
+
+def read_rejects(spark: SparkSession, target: str, table: str) -> DataFrame:
+    """The lines that did not fit when ``table`` was last ingested below ``target``; no rows where all did."""
+    path = rejects_path(target, table)
+    if not folders.exists(spark, path):
+        return spark.createDataFrame([], REJECTS)
+    return spark.read.schema(REJECTS).parquet(path)

@@ -67,6 +67,46 @@ def source_targets(
     return shared.select("source", "source_size", target.cast("double").alias("target"))
 
 
+_GROUP = ("no_source", "of_source", "bucket")
+
+
+def _mixed(
+    rows: DataFrame, weights: Sequence[int], share: float, epochs: int, buckets: int, seed: str
+) -> DataFrame:
+    """The columns of ``rows`` but its text, with size, source_size, target and taken, one row for each row.
+
+    Whatever else is in ``rows`` (doc_id, text, source) comes along, so no result has to find its row again.
+    """
+    order = -F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"))
+
+    def sized(df: DataFrame) -> DataFrame:
+        """Null-safe group columns that windows and joins share, so that rows are dealt out once."""
+        keyed = df.withColumns({"size": word_count(F.col("text")), "order": order}).drop("text")
+        # sampling keys are long-tailed where quality is low: this spreads them evenly enough at any quality
+        place = F.floor(F.col("order") / (F.col("order") + 1) * buckets).cast("int")
+        return keyed.withColumns(
+            {"no_source": F.col("source").isNull(), "of_source": F.coalesce("source", F.lit("")), "bucket": place}
+        )
+
+    narrow = sized(rows.select("doc_id", "text", "source"))
+    targets = source_targets(narrow.select("source", "size"), weights, share, epochs)
+    by_bucket = narrow.groupBy(*_GROUP).agg(F.sum("size").alias("bucket_size"))
+    earlier = Window.partitionBy(*_GROUP[:2]).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = by_bucket.withColumn("start", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0))).drop("bucket_size")
+    of_targets = targets.select(
+        F.col("source").isNull().alias("no_source"), F.coalesce("source", F.lit("")).alias("of_source"), "source_size", "target"
+    )
+    plan = starts.join(of_targets, list(_GROUP[:2]))
+    within = Window.partitionBy(*_GROUP).orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = sized(rows).withColumn("inside", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    size, total = F.col("size"), F.col("source_size")
+    whole = F.when(total > 0, F.floor(F.col("target") / total)).otherwise(F.lit(0)).cast("long")
+    left = F.floor(F.col("target")).cast("long") - whole * total - F.col("start") - F.col("inside")
+    taken = (size * whole + F.greatest(F.lit(0), F.least(size, left))).cast("long")
+    placed = inside.join(plan, list(_GROUP)).withColumn("taken", taken)
+    return placed.drop(*_GROUP, "order", "start", "inside")
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -90,50 +130,22 @@ def mix(
     Null and empty texts have size 0 and give 0; null is a source of its own, the last. Repeated rows count as often as
     they are there; equal keys are ordered by size. Without documents there are no rows.
     """
-    narrow = pick(docs, doc_id=key, text=text, source=source)
-    sized = narrow.select(
-        "doc_id",
-        "source",
-        word_count(F.col("text")).alias("size"),
-        (-F.ln(uniform(F.col("doc_id"), seed)) / quality_weight(F.col("text"))).alias("order"),
-    ).withColumn("bucket", F.floor((F.lit(1.0) - F.exp(-F.col("order"))) * buckets).cast("int"))
-    targets = source_targets(sized.select("source", "size"), weights, share, epochs)
-    by_bucket = sized.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    earlier = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = by_bucket.select(
-        "source", "bucket", F.coalesce(F.sum("bucket_size").over(earlier), F.lit(0)).alias("start")
-    )
-    within = Window.partitionBy("source", "bucket").orderBy("order", "doc_id", "size")
-    inside = sized.withColumn(
-        "inside", F.coalesce(F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    )
-    a, b, t = inside.alias("a"), starts.alias("b"), targets.alias("t")
-    placed = a.join(
-        b, F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.bucket") == F.col("b.bucket"))
-    ).join(t, F.col("a.source").eqNullSafe(F.col("t.source")))
-    size, total = F.col("a.size"), F.col("t.source_size")
-    whole = F.when(total > 0, F.floor(F.col("t.target") / total)).otherwise(F.lit(0)).cast("long")
-    budget = F.floor(F.col("t.target")).cast("long") - whole * total
-    left = budget - F.col("b.start") - F.col("a.inside")
-    taken = size * whole + F.greatest(F.lit(0), F.least(size, left))
-    return placed.select(
-        F.col("a.doc_id").alias("doc_id"),
-        F.col("a.source").alias("source"),
-        size.alias("size"),
-        total.alias("source_size"),
-        F.col("t.target").alias("target"),
-        taken.cast("long").alias("taken"),
-    )
+    rows = pick(docs, doc_id=key, text=text, source=source)
+    found = _mixed(rows, weights, share, epochs, buckets, seed)
+    return found.select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+ADDED = ("size", "source_size", "target", "taken")
 
 
 def taken_documents(docs: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The rows of ``docs`` that the mix takes words of, with size, source_size, target and taken added.
 
-    Columns of ``docs`` with one of these names are replaced. Keys are expected to be unique; rows that share one are
-    each joined to all of its results.
+    Columns of ``docs`` with one of these names are replaced. A row is judged by itself and comes back once at most, also
+    where keys are null or shared and where a whole row is repeated.
     """
-    added = ("size", "source_size", "target", "taken")
-    mixed = mix(docs, text, source, key).filter(F.col("taken") > 0).withColumnRenamed("doc_id", "__key")
-    plain = docs.drop(*[c for c in added if c in docs.columns])
-    joined = plain.join(mixed.select("__key", *added), F.col(f"`{key}`").eqNullSafe(F.col("__key")))
-    return joined.drop("__key")
+    plain = docs.drop(*[c for c in ADDED if c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row")
+    named = [F.col(f"`{name}`").alias(alias) for alias, name in (("doc_id", key), ("text", text), ("source", source))]
+    found = _mixed(docs.select(*named, whole), WEIGHTS, SHARE, MOST_EPOCHS, KEY_BUCKETS, "").filter(F.col("taken") > 0)
+    return found.select("row.*", *ADDED)

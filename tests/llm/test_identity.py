@@ -2,12 +2,13 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ledgerloom.llm import chunks, contamination, licenses, lines, simhash, suffixes
+from ledgerloom.llm import chunks, contamination, licenses, lines, mixing, simhash, suffixes
 from ledgerloom.llm.identity import with_row_numbers
 from tests.llm.conftest import SCHEMA, sentence
 from tests.llm.test_dedup import suffix_rows
@@ -110,3 +111,36 @@ def test_pipeline_loses_no_row(spark, unclear, tmp_path):
     expected = {hashlib.sha256((t if k == 1 else cut(t)).encode()).hexdigest() for k, t, *_ in rows}
     left = [r.text for r in given.collect()]
     assert len(left) == 8 and {hashlib.sha256(t.encode()).hexdigest() for t in left} == expected
+    # the mix may leave rows out, but gives none twice
+    name, stage = corpus_pipeline.STAGES[-1]
+    mixed = stage(spark, given, str(tmp_path)).collect()
+    assert name == "mix_sources" and 0 < len(mixed) <= len(left)
+    assert not Counter(r.text for r in mixed) - Counter(left)
+
+
+def test_mix_gives_no_row_twice(spark):
+    rows = [(None, f"of nobody {i}", "a", i) for i in range(6)] + [(7, "shared", "a", 6), (7, "key", "b", 7), (8, "x y", None, 8)]
+    rows += [(9, "a whole row again", "b", 9)] * 3
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, extra long").repartition(3)
+    mixed = mixing.taken_documents(docs)
+    assert mixed.columns == [*docs.columns, *mixing.ADDED]
+    found = mixed.collect()
+    assert not Counter(tuple(r)[:4] for r in found) - Counter(rows)
+    by_source = Counter()
+    for r in mixing.mix(docs).collect():
+        by_source[r.source] += r.taken
+    taken = Counter()
+    for r in found:
+        assert r["size"] == len(r["text"].split()) and r.taken > 0
+        taken[r.source] += r.taken
+    assert taken == by_source
+
+
+def test_mix_spreads_documents_of_any_quality(spark):
+    """No range of sampling keys holds more than its share, also where all texts are junk."""
+    for filler, least in (("plain words", 1.0), ("### 123 %%%", 0.1)):
+        docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.lit(filler).alias("text"))
+        order = -F.ln(mixing.uniform(F.col("doc_id"))) / mixing.quality_weight(F.col("text"))
+        assert docs.select(F.min(mixing.quality_weight(F.col("text")))).first()[0] == least
+        parts = docs.groupBy(F.floor(order / (order + 1) * 64)).count()
+        assert parts.agg(F.max("count")).first()[0] < 400

@@ -294,6 +294,33 @@ def test_training_plan_sorts_no_structs_into_groups(spark, mode):
     assert "SortAggregate" not in table._jdf.queryExecution().toString()
 
 
+def test_as_of_dates_come_before_columns(spark):
+    """What is sorted to find the latest date is keys and dates; no feature goes through a window or into a struct."""
+    wanted = spark.createDataFrame([("C", D(2023, 5, 1), 2), ("C", D(2023, 1, 1), 1), (None, D(2023, 5, 1), 1)], "k string, _feature_date date, _n long")
+    tables = {
+        "a": spark.createDataFrame([("C", D(2023, 2, 1), 5.0), ("C", D(2023, 5, 1), 6.0), ("C", D(2023, 5, 1), 7.0)], "k string, snapshot_date date, wide double"),
+        "b": spark.createDataFrame([("C", D(2023, 6, 1), 5.0), (None, D(2023, 1, 1), 1.0)], "k string, snapshot_date date, wide double"),
+    }
+    found = training._latest_dates(wanted, tables, ["k"])
+    assert rows(found.select("k", "_feature_date", "_n", "_a_date", "_b_date")) == sorted(
+        [
+            ("C", D(2023, 5, 1), 2, D(2023, 5, 1), None),
+            ("C", D(2023, 1, 1), 1, None, None),
+            (None, D(2023, 5, 1), 1, None, D(2023, 1, 1)),
+        ],
+        key=repr,
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "wide" not in "".join(line for line in plan.splitlines() if "Window" in line or "Union" in line or "Project" in line)
+    made = {}
+    for name, (_, columns) in RAW_TABLES.items():
+        raw = spark.createDataFrame([], ", ".join(f"{c} string" for c in columns))
+        made[name] = gold.TABLES[name](silver.TABLES[name].transform(raw))
+    store = labels.label_gold(labels.label_silver(labels.label_bronze(raw)))
+    plan = training.training_table(store, made, training.AS_OF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "struct(" not in "".join(line for line in plan.splitlines() if "Join" not in line and "fe_1" in line)
+
+
 def test_building_gold_financials_runs_nothing(spark):
     raw = financial_table(spark, [fin_row("A", "2023-01-01")])
     spark.sparkContext.setJobGroup("building", "no job may start in here")

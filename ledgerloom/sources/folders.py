@@ -67,6 +67,16 @@ def write_text_once(spark: SparkSession, path: str, text: str) -> None:
         raise FileExistsError(f"{path} is there already: something else has written it meanwhile")
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file over the one that is there."""
+    fs, target = _file_system(spark, path)
+    stream = fs.create(target, True)
+    try:
+        stream.write(bytearray(text, "utf-8"))
+    finally:
+        stream.close()
+
+
 def listing_digest(spark: SparkSession, *paths: str) -> str:
     """A digest of the names, sizes and times of all files below some paths; nothing is read. A missing path counts."""
     found = []

@@ -21,17 +21,23 @@ def months_between(df: DataFrame, start: str, end: str) -> DataFrame:
     return df.select(F.explode(month_starts(F.col(start), F.col(end))).alias(fv.SNAPSHOT))
 
 
-def missing_months(df: DataFrame, column: str = fv.SNAPSHOT) -> DataFrame:
-    """Month starts between the first and the last date that are not there.
+def month_span(column: str = fv.SNAPSHOT) -> dict[str, Column]:
+    """Aggregates of a date column: its first and last date, and the set of month starts among them.
 
-    One aggregation. The set it keeps holds month starts only, at most twelve a calendar year however long the table.
+    The set holds at most twelve dates a calendar year however long the table.
     """
     date = F.col(column)
-    span = df.agg(
-        F.min(date).alias("low"),
-        F.max(date).alias("high"),
-        F.collect_set(F.when(date == F.trunc(date, "month"), date)).alias("present"),
-    )
+    present = F.collect_set(F.when(date == F.trunc(date, "month"), date))
+    return {"low": F.min(date), "high": F.max(date), "present": present}
+
+
+def gaps(span: DataFrame) -> DataFrame:
+    """(missing_month) of rows with ``low``, ``high`` and ``present``."""
     from_next = F.add_months(F.trunc("low", "month"), 1)
     low = F.when(F.col("low") == F.trunc("low", "month"), F.col("low")).otherwise(from_next)
     return span.select(F.explode(F.array_except(month_starts(low, F.col("high")), "present")).alias("missing_month"))
+
+
+def missing_months(df: DataFrame, column: str = fv.SNAPSHOT) -> DataFrame:
+    """Month starts between the first and the last date that are not there, by one aggregation."""
+    return gaps(df.agg(*[value.alias(name) for name, value in month_span(column).items()]))

@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
 from ledgerloom.functions import casting, cleaning
 from ledgerloom.operators import quality
-from ledgerloom.operators.months import missing_months
+from ledgerloom.operators.months import gaps, missing_months, month_span
 from ledgerloom.operators.quality import FormatRule, rules_for
 
 
@@ -112,3 +112,50 @@ def silver_reports(name: str, silver: DataFrame) -> dict[str, DataFrame]:
         "missing_months": missing_months(silver),
         "ranges": quality.range_profile(silver, table.ranges(silver)),
     }
+
+
+class ObservedSilver:
+    """A silver table whose reports are counted while it is written, so that they need no scan of their own.
+
+    ``clean`` gives the table to write. Afterwards ``reports`` has what ``raw_reports`` and ``silver_reports`` would have
+    found, by name: counts and extremes were taken from the rows on their way. What needs rows of one key or the first
+    rows in some order (duplicates, samples) is not among them.
+    """
+
+    def __init__(self, name: str) -> None:
+        self.table = TABLES[name]
+        self._raw, self._silver = Observation(), Observation()
+        self._columns: list[str] = []
+        self._ranged: list[str] = []
+
+    def clean(self, raw: DataFrame) -> DataFrame:
+        broken = {f"invalid {r.column}": F.expr(f"count_if({r.broken()})") for r in self.table.rules}
+        silver = self.table.transform(_observed(raw, self._raw, broken))
+        self._columns, self._ranged = silver.columns, list(self.table.ranges(silver))
+        measures = {f"nulls {c}": F.count_if(F.col(casting.quoted(c)).isNull()) for c in self._columns}
+        for c in self._ranged:
+            value = F.col(casting.quoted(c))
+            measures |= {f"min {c}": F.min(value).cast("double"), f"max {c}": F.max(value).cast("double"), f"mean {c}": F.avg(value)}
+        # dates leave as text, which any driver reads alike
+        span = month_span()
+        months = {n: v.cast("array<string>" if n == "present" else "string") for n, v in span.items()}
+        return _observed(silver, self._silver, {**measures, **months})
+
+    def reports(self, spark: SparkSession) -> dict[str, DataFrame]:
+        raw, silver = self._raw.get, self._silver.get
+        invalid = [(r.column, raw[f"invalid {r.column}"]) for r in self.table.rules]
+        ranges = [(c, *(silver[f"{m} {c}"] for m in ("min", "max", "mean"))) for c in self._ranged]
+        span = [(silver["low"], silver["high"], list(silver["present"]))]
+        dates = spark.createDataFrame(span, "low string, high string, present array<string>").selectExpr(
+            "CAST(low AS DATE) AS low", "CAST(high AS DATE) AS high", "CAST(present AS ARRAY<DATE>) AS present"
+        )
+        return {
+            "invalid": spark.createDataFrame([r for r in invalid if r[1]], "column string, invalid long"),
+            "nulls": spark.createDataFrame([(c, silver[f"nulls {c}"]) for c in self._columns], "column string, nulls long"),
+            "missing_months": gaps(dates),
+            "ranges": spark.createDataFrame(ranges, "column string, min double, max double, mean double"),
+        }
+
+
+def _observed(df: DataFrame, into: Observation, measures: dict[str, Column]) -> DataFrame:
+    return df.observe(into, *[value.alias(name) for name, value in measures.items()])

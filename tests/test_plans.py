@@ -252,6 +252,40 @@ def test_pipeline_error_is_not_swallowed(spark, tmp_path):
         pipeline.run(spark, str(tmp_path / "none"), str(tmp_path / "mart"), {"run_bronze": True})
 
 
+def raw_rows(spark, name):
+    """Untidy rows of a raw table, two of each kind."""
+    columns = RAW_TABLES[name][1]
+    values = ["1", "-2", "3.5", "4_", "x", "", None, "2023-01-01", "2023-04-01", "2023-06-15", " A "]
+    data = [tuple(values[(i + k) % len(values)] for k in range(len(columns))) for i in range(len(values))] * 2
+    data = [(*r[:-1], d) for r, d in zip(data, ["2023-01-01", "2023-04-01", "2023-07-20", "x", None] * 5, strict=False)]
+    return spark.createDataFrame(data, ", ".join(f"{c} string" for c in columns))
+
+
+@pytest.mark.parametrize("name", list(RAW_TABLES))
+@pytest.mark.parametrize("empty", [False, True])
+def test_reports_are_counted_while_silver_is_written(spark, tmp_path, name, empty):
+    raw = raw_rows(spark, name).filter("false") if empty else raw_rows(spark, name).repartition(3)
+    observed = silver.ObservedSilver(name)
+    tables.overwrite_parquet(observed.clean(raw), str(tmp_path / "silver"))
+    written = tables.read_parquet(spark, str(tmp_path / "silver"))
+    scanned = {**silver.raw_reports(name, raw), **silver.silver_reports(name, written)}
+    counted = observed.reports(spark)
+    assert set(scanned) - set(counted) == {"invalid_samples", "duplicates"}
+    for title, report in counted.items():
+        assert report.dtypes == scanned[title].dtypes
+        assert rows(report) == rows(scanned[title])
+    assert empty or rows(counted["missing_months"]) == [(D(2023, m, 1),) for m in (2, 3, 5, 6, 7)]
+
+
+def test_a_run_scans_a_table_for_samples_and_duplicates_only(spark, loan_csv, tmp_path):
+    loan_csv(loan_line("A_1", "2023-07-01", 6))
+    root = str(tmp_path / "mart")
+    tables.ingest(spark, str(tmp_path), f"{root}/bronze", {"lms_loan_daily.csv": "loan_daily"})
+    reports = pipeline.run(spark, str(tmp_path), root, {"run_silver": True, "datasets": {"loan_daily": True}})
+    scanning = {n for n, r in reports.items() if "FileScan" in r._jdf.queryExecution().executedPlan().toString()}
+    assert scanning == {"silver/loan_daily/invalid_samples", "silver/loan_daily/duplicates"}
+
+
 def test_tables_without_rows(either_ansi, tmp_path):
     """Every cleaning, gold and label step, report and join takes tables without rows."""
     made = {}

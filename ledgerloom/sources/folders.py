@@ -18,6 +18,11 @@ def _file_system(spark: SparkSession, path: str):
     return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
 
 
+def scheme(spark: SparkSession, path: str) -> str:
+    """Of the file system that a path is on, such as ``file`` or ``hdfs``."""
+    return _file_system(spark, path)[0].getUri().getScheme()
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     fs, target = _file_system(spark, path)
     return fs.exists(target)

@@ -13,7 +13,8 @@ from ledgerloom.sources import folders
 def shared_root(spark: SparkSession) -> str:
     """The folder of ``spark.checkpoint.dir`` or, where that is unset, one below the warehouse folder.
 
-    Both are folders that all executors share; a folder of one machine is never chosen.
+    On a cluster a folder of one machine is never chosen: where the checkpoint folder is unset and the warehouse is on the
+    driver's own disk, that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
@@ -21,6 +22,8 @@ def shared_root(spark: SparkSession) -> str:
         if not warehouse:
             raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         named = f"{warehouse.rstrip('/')}/_ledgerloom"
+        if not spark.sparkContext.master.startswith("local") and folders.scheme(spark, named) == "file":
+            raise RuntimeError(f"{warehouse} is a folder of one machine: set spark.checkpoint.dir to one that all share")
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(named)
     return named

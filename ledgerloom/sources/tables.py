@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping, Sequence
 from datetime import date
 
@@ -66,6 +67,35 @@ def overwrite_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def bucketed_name(path: str) -> str:
+    """The name in the session catalog of the bucketed table at a path."""
+    return f"ledgerloom_{hashlib.sha256(path.rstrip('/').encode()).hexdigest()[:24]}"
+
+
+def overwrite_bucketed(df: DataFrame, path: str, keys: Sequence[str], buckets: int) -> None:
+    """Replace a whole table by one that is dealt into buckets by its keys and sorted by them in each.
+
+    A later join or window by the same keys then shuffles nothing of it, if Spark has no more shuffle partitions than
+    there are buckets; it sorts what is in order already. It is plain Parquet for readers that know of no buckets.
+    """
+    dealt = df.repartition(buckets, *keys)
+    writer = dealt.write.mode("overwrite").format("parquet").option("path", path)
+    writer.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(bucketed_name(path))
+
+
+def read_bucketed(spark: SparkSession, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A table that ``overwrite_bucketed`` wrote, also in a session other than the one that wrote it."""
+    name = bucketed_name(path)
+    if not spark.catalog.tableExists(name):
+        listed = ", ".join(map(quoted, keys))
+        columns = ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in spark.read.parquet(path).schema.fields)
+        spark.sql(
+            f"CREATE TABLE {name} ({columns}) USING parquet CLUSTERED BY ({listed}) SORTED BY ({listed})"
+            f" INTO {buckets} BUCKETS LOCATION '{path}'"
+        )
+    return spark.table(name)
+
+
 def at_snapshot(df: DataFrame, *dates: str | date) -> DataFrame:
     """Rows of the given snapshots; prunes partitions of a snapshot store."""
     return df.filter(F.col(fv.SNAPSHOT).isin([F.lit(str(d)).cast("date") for d in dates]))

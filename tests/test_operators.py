@@ -176,3 +176,21 @@ def test_summary_is_one_scan_and_keeps_small_spreads(spark):
     assert (row["count"], row["min"], row["max"]) == (10_000, 1e9, 1e9 + 1)
     assert abs(row["mean"] - 1e9 - 0.5) < 1e-6 and abs(row["stddev"] - 0.500025) < 1e-5
     assert summary._jdf.queryExecution().executedPlan().toString().count("Range (") <= 2
+
+
+def test_scratch_is_never_on_one_machine_of_a_cluster(spark, monkeypatch):
+    from ledgerloom.sources import scratch
+
+    unset = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": "file:/tmp/somewhere"}
+
+    class Session:
+        class conf:
+            get = staticmethod(lambda key, default=None: unset.get(key, default))
+
+        class sparkContext:
+            master = "spark://host:7077"
+
+        _jvm, _jsc = spark._jvm, spark._jsc
+
+    with pytest.raises(RuntimeError, match="one machine"):
+        scratch.shared_root(Session)

@@ -328,6 +328,60 @@ def test_training_plan_sorts_no_structs_into_groups(spark, mode):
     assert "SortAggregate" not in table._jdf.queryExecution().toString()
 
 
+def test_exact_join_of_bucketed_tables_shuffles_labels_only(spark, tmp_path):
+    months = [D(2023, m, 1) for m in range(1, 5)]
+    attrs = spark.createDataFrame([(f"C{i}", i, m) for i in range(40) for m in months], "Customer_ID string, Age int, snapshot_date date")
+    loans = spark.createDataFrame(
+        [(f"L{i}", f"C{i % 40}", i * 1.0, months[i % 4]) for i in range(80)], "loan_id string, Customer_ID string, ratio double, snapshot_date date"
+    )
+    store = label_rows(spark, [(f"L{i}", f"C{i % 40}", 1, "d", months[i % 4]) for i in range(80)])
+    plain = {"attributes": attrs, "loan_daily": loans}
+    keys = {n: [*training.TABLE_KEYS[n], fv.SNAPSHOT] for n in plain}
+    for n, table in plain.items():
+        tables.overwrite_bucketed(table, str(tmp_path / n), keys[n], 8)
+    bucketed = {n: tables.read_bucketed(spark, str(tmp_path / n), keys[n], 8) for n in plain}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        table = training.training_table(store, bucketed)
+        plan = table._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert rows(table) == rows(training.training_table(store, plain))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    depth = [len(line) - len(line.lstrip(" :+-*")) for line in plan]
+    scans = [i for i, line in enumerate(plan) if "FileScan parquet" in line and "Bucketed: true" in line]
+    assert len(scans) == 2
+    for i in scans:
+        above, at = [], depth[i]
+        for k in range(i - 1, -1, -1):
+            if depth[k] < at:
+                above, at = [*above, plan[k]], depth[k]
+        joined = next(k for k, line in enumerate(above) if "SortMergeJoin" in line)
+        assert not any("Exchange" in line for line in above[:joined]), above[:joined]
+
+
+def test_bucketed_tables_are_found_again(spark, tmp_path):
+    path, keys = str(tmp_path / "t"), ["k", "snapshot_date"]
+    for v in (1, 2):
+        tables.overwrite_bucketed(spark.createDataFrame([("a", D(2023, 1, 1), v)], "k string, snapshot_date date, v int"), path, keys, 3)
+        assert rows(tables.read_bucketed(spark, path, keys, 3)) == [("a", D(2023, 1, 1), v)]
+    spark.sql(f"DROP TABLE {tables.bucketed_name(path)}")
+    assert rows(tables.read_bucketed(spark, path, keys, 3)) == rows(spark.read.parquet(path)) == [("a", D(2023, 1, 1), 2)]
+
+
+def test_a_run_with_buckets(spark, loan_csv, tmp_path):
+    loan_csv(loan_line("A_1", "2023-07-01", 6, overdue="100.0"), loan_line("B_1", "2023-08-01", 6))
+    files, found = {"lms_loan_daily.csv": "loan_daily"}, []
+    for name, more in (("plain", {}), ("dealt", {"buckets": 8})):
+        root = str(tmp_path / name)
+        tables.ingest(spark, str(tmp_path), f"{root}/bronze", files)
+        stages = dict.fromkeys(("run_silver", "run_gold", "run_label", "run_join"), True)
+        months = {"snapshot_dates": ["2023-07-01", "2023-08-01"]}
+        pipeline.run(spark, str(tmp_path), root, {**stages, **more, "datasets": {"loan_daily": True}, "label_store": months})
+        found.append(rows(tables.read_parquet(spark, f"{root}/gold/final_training_table")))
+    assert len(found[0]) == 2 and found[0] == found[1]
+
+
 def test_as_of_dates_come_before_columns(spark):
     """What is sorted to find the latest date is keys and dates; no feature goes through a window or into a struct."""
     wanted = spark.createDataFrame([("C", D(2023, 5, 1), 2), ("C", D(2023, 1, 1), 1), (None, D(2023, 5, 1), 1)], "k string, _feature_date date, _n long")

@@ -567,6 +567,7 @@ def all_sql() -> dict[str, str]:
         "full_run": _training(as_of=False),
         "full_run_as_of": _training(as_of=True),
     }
+    found["gold_click_from_state"], found["gold_fin_from_state"] = found["gold_click"], found["gold_fin"]
     found["run_reports"] = _reports(found)
     merged = {name: _with_merged(sql) for name, sql in found.items()}
     return {name: _read_from_csv(sql) if "run" in name.split("_") else sql for name, sql in merged.items()}

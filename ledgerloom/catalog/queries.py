@@ -16,7 +16,7 @@ from ledgerloom import fixed_values as fv
 from ledgerloom.catalog.adapters import RAW_TABLES, raw_table
 from ledgerloom.functions import repayment
 from ledgerloom.functions.casting import cast_to
-from ledgerloom.operators import quality
+from ledgerloom.operators import quality, state
 from ledgerloom.operators.categories import category_counts, group_rare
 from ledgerloom.operators.dedup import first_per_key
 from ledgerloom.operators.months import missing_months, months_between
@@ -147,6 +147,30 @@ def gold_click(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(gold_table(spark, sf_dir, "clickstream"), *fv.CLICK_FEATURES)
 
 
+def _grown_state(spark: SparkSession, silver: DataFrame, state_of: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """The stored state of a table that came in two parts: rows up to a date and without one, then the later ones."""
+    path = scratch_folder(spark, "state")
+    last = silver.agg(F.max(fv.SNAPSHOT)).first()[0]
+    later = F.coalesce(F.col(fv.SNAPSHOT) == F.lit(last), F.lit(False))
+    for part in (silver.filter(~later), silver.filter(later)):
+        state.write_state(state_of(part), path)
+    return state.read_state(spark, path, state_of(silver))
+
+
+def gold_click_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Gold from the merged states of snapshots: the last one was added to those before it."""
+    silver = silver_table(spark, sf_dir, "clickstream")
+    moments_of = state.merged_moments(_grown_state(spark, silver, gold.click_state), fv.CLICK_FEATURES)
+    return rounded(gold.clickstream(silver, moments=moments_of), *fv.CLICK_FEATURES)
+
+
+def gold_fin_from_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    silver = financials_silver(spark, sf_dir)
+    counts = state.merged_categories(_grown_state(spark, silver, gold.financial_state), fv.GROUPED_COLUMN)
+    names = [*fv.IMPUTED_COLUMNS, *[f"log_{c}" for c in fv.LOGGED_COLUMNS]]
+    return rounded(gold.financials(silver, counts=counts), *names)
+
+
 def gold_attr(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold_table(spark, sf_dir, "attributes")
 
@@ -428,6 +452,8 @@ def all_queries() -> dict[str, Query]:
         fin_rates,
         fin_null_columns,
         gold_click,
+        gold_click_from_state,
+        gold_fin_from_state,
         gold_attr,
         gold_fin,
         gold_loan,

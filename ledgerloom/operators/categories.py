@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerloom import fixed_values as fv
@@ -14,11 +14,15 @@ from ledgerloom.functions.casting import quoted
 SALTS = 64
 
 
+def category_aggregates(means: Sequence[str] = ()) -> list[Column]:
+    """The aggregates of ``category_counts``; those of parts of a table add up to those of the whole."""
+    parts = {f"{c} {name}": f"{name}(CAST({quoted(c)} AS DOUBLE))" for c in means for name in ("sum", "count")}
+    return [F.count(F.lit(1)).alias("rows"), *[F.expr(sql).alias(alias) for alias, sql in parts.items()]]
+
+
 def category_counts(df: DataFrame, column: str, means: Sequence[str] = ()) -> DataFrame:
     """(column, rows) and, for each of ``means``, ``<name> sum`` and ``<name> count`` per category."""
-    parts = {f"{c} {name}": f"{name}(CAST({quoted(c)} AS DOUBLE))" for c in means for name in ("sum", "count")}
-    sums = [F.expr(sql).alias(alias) for alias, sql in parts.items()]
-    return df.groupBy(column).agg(F.count(F.lit(1)).alias("rows"), *sums)
+    return df.groupBy(column).agg(*category_aggregates(means))
 
 
 def overall_means(counts: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -32,11 +32,14 @@ def moments(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return _moments(df, columns).select(f"{_STATS}.*")
 
 
-def clip_sigma(df: DataFrame, columns: Sequence[str], sigmas: float = fv.SIGMAS) -> DataFrame:
+def clip_sigma(
+    df: DataFrame, columns: Sequence[str], sigmas: float = fv.SIGMAS, stats: DataFrame | None = None
+) -> DataFrame:
     """Pull values further than ``sigmas`` standard deviations from the mean in to that bound.
 
     Adds ``<column>_raw`` and ``<column>_is_outlier``. With no spread (one row, or all the same) nothing is flagged.
-    The clipped column is always double.
+    The clipped column is always double. ``stats`` is one row with a struct of ``<column>_mean`` and ``<column>_stddev``, by
+    default the table's own.
     """
 
     def bound(c: str, sign: str) -> str:
@@ -52,7 +55,7 @@ def clip_sigma(df: DataFrame, columns: Sequence[str], sigmas: float = fv.SIGMAS)
 
     kept = [clipped(c) if c in columns else quoted(c) for c in df.columns]
     raw = [f"{quoted(c)} AS `{c}_raw`" for c in columns]
-    with_stats = df.withColumn(_STATS, _moments(df, columns).scalar())
+    with_stats = df.withColumn(_STATS, (_moments(df, columns) if stats is None else stats).scalar())
     return with_stats.selectExpr(*kept, *raw, *map(flagged, columns))
 
 

@@ -10,11 +10,18 @@ from ledgerloom.functions import features as fx
 from ledgerloom.operators import quality
 from ledgerloom.operators.categories import category_counts, group_rare, overall_means
 from ledgerloom.operators.dedup import first_per_key
+from ledgerloom.operators.state import category_state, moment_state
 from ledgerloom.operators.statistics import clip_sigma, impute_mean
 
 
-def clickstream(silver: DataFrame, sigmas: float = fv.SIGMAS) -> DataFrame:
-    return clip_sigma(silver, fv.CLICK_FEATURES, sigmas)
+def clickstream(silver: DataFrame, sigmas: float = fv.SIGMAS, moments: DataFrame | None = None) -> DataFrame:
+    """``moments`` are stored ones, see ``merged_moments``; by default those of ``silver``, which is then read twice."""
+    return clip_sigma(silver, fv.CLICK_FEATURES, sigmas, moments)
+
+
+def click_state(silver: DataFrame) -> DataFrame:
+    """What ``clickstream`` needs to know of whole snapshots."""
+    return moment_state(silver, fv.CLICK_FEATURES)
 
 
 def attributes(silver: DataFrame, age_range: tuple[int, int] = fv.AGE_RANGE) -> DataFrame:
@@ -65,18 +72,28 @@ def financial_features(silver: DataFrame, caps: dict[str, float] | None = None)
     return flagged.withColumns({**ratios(), **logs()}).drop("Credit_History_Age")
 
 
+def financial_state(silver: DataFrame, caps: dict[str, float] | None = None) -> DataFrame:
+    """What ``financials`` needs to know of whole snapshots."""
+    return category_state(silver.withColumns(capped(caps or fv.FINANCIAL_CAPS)), fv.GROUPED_COLUMN, means=fv.IMPUTED_COLUMNS)
+
+
 def financials(
-    silver: DataFrame, caps: dict[str, float] | None = None, rare_below: int = fv.RARE_BELOW
+    silver: DataFrame,
+    caps: dict[str, float] | None = None,
+    rare_below: int = fv.RARE_BELOW,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Cap, flag, relate, log, group and impute, for one row per customer and snapshot.
 
     Category counts and means are those of all silver rows, from one aggregate; the other features follow from one row.
     So the rows are deduplicated first, and only silver columns are shuffled for it. Building the frame runs nothing.
+    ``counts`` are stored ones, see ``merged_categories``; by default those of ``silver``.
     """
     features = financial_features(first_per_key(silver, fv.CUSTOMER_KEY), caps)
-    counts = category_counts(
-        silver.withColumns(capped(caps or fv.FINANCIAL_CAPS)), fv.GROUPED_COLUMN, means=fv.IMPUTED_COLUMNS
-    )
+    if counts is None:
+        counts = category_counts(
+            silver.withColumns(capped(caps or fv.FINANCIAL_CAPS)), fv.GROUPED_COLUMN, means=fv.IMPUTED_COLUMNS
+        )
     grouped = group_rare(features, fv.GROUPED_COLUMN, rare_below, counts, salt_by=fv.CUSTOMER_KEY)
     return impute_mean(grouped, fv.IMPUTED_COLUMNS, overall_means(counts, fv.IMPUTED_COLUMNS))
 

@@ -319,6 +319,15 @@ def _dealt(docs: DataFrame, shared: DataFrame, buckets: int, length: int, gram:
     return suffixes.join(large, "code", "left").withColumn("part", own).drop("n").unionByName(added)
 
 
+def _copies(given: DataFrame) -> DataFrame:
+    """(row) of every row whose whole text, told by 128 bits, a row with a smaller number has too."""
+    text = F.coalesce("text", F.lit(""))
+    named = given.select("row", *[F.xxhash64(F.lit(h), text).alias(h) for h in ("h1", "h2")])
+    several = named.groupBy("h1", "h2").agg(F.min("row").alias("least"), F.max("row").alias("most"))
+    several = several.filter(F.col("least") < F.col("most")).drop("most")
+    return named.join(several, ["h1", "h2"]).filter(F.col("row") > F.col("least")).select("row").distinct()
+
+
 def remove_repeats(
     docs: DataFrame,
     text: str = "text",
@@ -334,10 +343,15 @@ def remove_repeats(
 
     Null texts are empty; keys are integers and a null one comes last. Repeated rows never repeat each other; different
     texts under one key, or none, are documents of their own, in the order of their digests. Without documents there are no rows.
+
+    A text that a smaller row has as a whole is gone as a whole, if it has a window at all, and whatever it would take out
+    of others its first copy takes out. So only first copies go into the suffix array.
     """
     spark = docs.sparkSession
     given = numbered(docs, text, key)
-    narrow = given.select(F.col("row").alias("doc_id"), "text")
+    copies = stored(_copies(given), "copies")
+    known = F.broadcast(copies) if copies.count() <= BROADCAST_KEYS else copies
+    narrow = given.join(known, "row", "left_anti").select(F.col("row").alias("doc_id"), "text")
     buckets = min(32_767, 8 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     shared = stored(shared_anchors(narrow, buckets, length, gram), "shared-anchors")
     suffixes = _dealt(narrow, shared, buckets, length, gram, hot)
@@ -354,7 +368,7 @@ def remove_repeats(
         F.octet_length("text").cast("long").alias("n_bytes"),
         F.sha2("text", 256).alias("kept_sha256"),
     )
-    untouched = whole.join(F.broadcast(ids) if few else ids, order == F.col("of"), "left_anti").drop("row")
+    untouched = whole.join(known, "row", "left_anti").join(F.broadcast(ids) if few else ids, order == F.col("of"), "left_anti")
 
     def cut(frames: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for frame in frames:
@@ -378,7 +392,16 @@ def remove_repeats(
     changed = touched.join(runs, order == F.col("of")).select("doc_id", "text", "runs").mapInArrow(
         cut, f"doc_id {kind}, n_bytes long, spans {shape}, kept_sha256 string"
     )
-    both = untouched.withColumn("spans", F.array().cast(shape)).unionByName(changed)
+    # copies are gone from their first byte to their last, but for those that are shorter than a window
+    none, gone = F.array().cast(shape), F.array(F.struct(F.lit(0).alias("start"), F.col("n_bytes").cast("int").alias("end")))
+    windowed = F.col("n_bytes") >= length
+    again = whole.join(known, "row", "left_semi").withColumns(
+        {
+            "spans": F.when(windowed, gone.cast(shape)).otherwise(none),
+            "kept_sha256": F.when(windowed, F.lit(hashlib.sha256().hexdigest())).otherwise(F.col("kept_sha256")),
+        }
+    )
+    both = untouched.withColumn("spans", none).unionByName(again).drop("row").unionByName(changed)
     removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + (s["end"] - s["start"]))
     return both.select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), "spans", "kept_sha256"

@@ -1,6 +1,7 @@
 """Chunks, suffixes, SimHash and lines against plain Python on small texts."""
 
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -10,6 +11,7 @@ import xxhash
 
 from ledgerloom.llm import chunks, lines, simhash, suffixes
 from ledgerloom.llm.components import components
+from tests.llm.conftest import sentence
 
 
 def encoded(text):
@@ -118,6 +120,21 @@ def test_suffixes(docs, rows, plain, hot):
     assert by_id(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == suffix_rows(plain)
 
 
+def test_suffixes_of_copies(spark):
+    """Copies of all sizes, short ones too, and a text that shares a passage with a later and an earlier copy."""
+    rng = random.Random(77)
+    own = [sentence(rng, 40) for _ in range(4)]
+    texts = [own[0], own[1], own[0], "x" * 49, "x" * 49, "x" * 50, "x" * 50, None, "", own[2], own[0], own[1][20:120] + own[3]]
+    texts += [own[2] + own[0][:70], own[2], own[2]]
+    pairs = list(enumerate(texts))
+    frame = spark.createDataFrame([*pairs, pairs[2], pairs[2]], "doc_id long, text string").repartition(4)
+    found = suffixes.remove_repeats(frame)
+    assert found.count() == len(pairs) + 2
+    assert by_id(found, "n_bytes", "n_removed", "n_spans", "kept_sha256") == suffix_rows(pairs)
+    spans = {r.doc_id: [tuple(x) for x in r.spans] for r in found.collect()}
+    assert spans[2] == [(0, len(own[0].encode()))] and spans[4] == [] and spans[6] == [(0, 50)]
+
+
 def test_suffixes_of_periodic_and_touching_texts(spark):
     texts = ["ab" * 60, "ba" * 40, "x" * 49, "x" * 50, "x" * 51, "y" * 30 + "x" * 50, "ab" * 25 + "x" * 50 + "ba" * 30]
     pairs = list(enumerate(texts))

@@ -15,6 +15,8 @@ WINDOW = 10
 SHINGLE = 5
 # Benchmark shingles that one pass over the documents looks for; a larger benchmark takes more passes
 BLOCK = 500_000
+# Words of a document that are looked at together; pieces overlap by a window at both ends
+PIECE = 64
 
 
 def plain_words(text: Column) -> Column:
@@ -38,22 +40,62 @@ def item_windows(items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE)
                         hashes.alias("shingles")).distinct()
 
 
+def _shingle_hashes(w: Column, width: int, first: Column | int = 1, last: Column | None = None) -> Column:
+    """Hashes of the ``width``-word shingles that start at the words ``first`` to ``last``, counting from 1."""
+    whole = F.size(w) - width + 1
+    ends = whole if last is None else F.least(last, whole)
+    return F.transform(positions(first, ends), lambda i: F.xxhash64(F.slice(w, i, width)))
+
+
+def _counts(docs: DataFrame, wanted: DataFrame, widths: list[int]) -> DataFrame:
+    """(width, h, n): how often the documents have each wanted shingle that they have at all."""
+    split = docs.select(plain_words(F.col("text")).alias("w"))
+
+    def of(width: int) -> DataFrame:
+        each = split.select(F.explode(_shingle_hashes(F.col("w"), width)).alias("h"))
+        chosen = F.broadcast(wanted.filter(F.col("width") == width).select("h"))
+        return each.join(chosen, "h").select(F.lit(width).alias("width"), "h")
+
+    found = reduce(DataFrame.unionByName, [of(k) for k in widths])
+    return found.groupBy("width", "h").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _pieces(docs: DataFrame, margin: int) -> DataFrame:
+    """(doc_id, n_words, lead, first, w): the documents' words in pieces of ``PIECE``, with ``margin`` more at both ends.
+
+    ``first`` is where the piece's words start in the document, ``lead`` how many of them belong to the piece before. What
+    is made of a shingle copies a piece and never a document, so the work grows with a text's length and not its square.
+    """
+    split = docs.select("doc_id", plain_words(F.col("text")).alias("w"))
+    starts = F.when(F.size("w") > 0, F.sequence(F.lit(0), F.size("w") - 1, F.lit(PIECE))).otherwise(
+        F.array().cast("array<int>")
+    )
+
+    def piece(at: Column) -> Column:
+        lead = F.least(at, F.lit(margin))
+        words = F.slice("w", at - lead + 1, lead + F.lit(PIECE + margin))
+        return F.struct(lead.alias("lead"), (at - lead).alias("first"), words.alias("w"))
+
+    return split.select("doc_id", F.size("w").alias("n_words"), F.inline(F.transform(starts, piece)))
+
+
 def _hits(docs: DataFrame, wanted: DataFrame, widths: list[int], window: int) -> DataFrame:
     """(doc_id, at, h, n_words, first, around) wherever a document has a wanted shingle, ``at`` counting from 0.
 
     ``around`` are the words from ``first`` on that a window with this shingle may cover. Only rows that hit carry them.
     """
-    split = docs.select("doc_id", plain_words(F.col("text")).alias("w"))
+    pieces = _pieces(docs, window)
 
     def of(width: int) -> DataFrame:
-        hashes = F.transform(positions(1, F.size("w") - width + 1), lambda i: F.xxhash64(F.slice("w", i, width)))
-        each = split.select("doc_id", "w", F.posexplode(hashes).alias("at", "h"))
+        hashes = _shingle_hashes(F.col("w"), width, F.col("lead") + 1, F.col("lead") + PIECE)
+        each = pieces.select("doc_id", "n_words", "lead", "first", "w", F.posexplode(hashes).alias("place", "h"))
         chosen = F.broadcast(wanted.filter(F.col("width") == width).select("h"))
-        first = F.greatest(F.lit(0), F.col("at") - (window - width))
-        around = F.slice("w", first + 1, F.lit(2 * window - width))
+        at = F.col("lead") + F.col("place")
+        begin = F.greatest(F.lit(0), at - (window - width))
+        around = F.slice("w", begin + 1, F.lit(2 * window - width))
         return each.join(chosen, "h").select(
-            "doc_id", "at", "h", F.lit(width).alias("width"), F.size("w").alias("n_words"), first.alias("first"),
-            around.alias("around"),
+            "doc_id", (F.col("first") + at).alias("at"), "h", F.lit(width).alias("width"), "n_words",
+            (F.col("first") + begin).alias("first"), around.alias("around"),
         )
 
     return reduce(DataFrame.unionByName, [of(k) for k in widths])
@@ -64,9 +106,11 @@ def occurrences(
 ) -> DataFrame:
     """(doc_id, start, size, item_id): where an item's window occurs in a document, ``start`` counting words from 0.
 
-    Shingles are ordered by how rare they are in the documents. A window is contained as a whole only where its rarest
-    shingle is, so that one alone is its prefix; a document that has it within the bounds of its position and length is
-    a candidate, whose words are then compared one by one. Wanted shingles are broadcast in blocks of a fixed size.
+    A first pass over the documents counts the windows' shingles, by hash alone. A window is contained as a whole only
+    where its rarest shingle is, so that one alone is its prefix, and a window with a shingle that no document has goes.
+    A second pass looks for prefixes only; a document that has one within the bounds of its position and length is a
+    candidate, whose words are then compared one by one. Shingles are broadcast in blocks of a fixed size. Both passes
+    take time and memory in proportion to a text's length.
     """
     windows = stored(item_windows(items, window, shingle), "windows")
     wanted = windows.select("width", F.explode("shingles").alias("h")).distinct()
@@ -74,19 +118,16 @@ def occurrences(
     if not widths:
         empty = items.select(F.lit(0).alias("start"), F.lit(0).alias("size"), "item_id").limit(0)
         return docs.select("doc_id").limit(0).join(empty, F.lit(False))
-    wanted = stored(wanted, "wanted")
-    blocks = max(1, -(-wanted.count() // block))
-    parts = [
-        _hits(docs, wanted.filter(F.pmod(F.col("h"), F.lit(blocks)) == b), widths, window) for b in range(blocks)
-    ]
-    hits = stored(reduce(DataFrame.unionByName, parts), "hits")
-    seen = hits.groupBy("width", "h").agg(F.count(F.lit(1)).alias("n"))
+    seen = stored(reduce(DataFrame.unionByName, [_counts(docs, b, widths) for b in _blocks(wanted, block)]), "shingle-counts")
     by_place = windows.select("win", "size", "width", F.posexplode("shingles").alias("offset", "h")).distinct()
     ranked = by_place.join(seen, ["width", "h"], "left")
     rarest = ranked.groupBy("win", "size", "width").agg(
         F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "h", "offset")).alias("prefix")
     )
-    needed = rarest.filter(F.col("prefix.n") > 0).select("win", "size", "width", "prefix.h", "prefix.offset")
+    found = rarest.filter(F.col("prefix.n") > 0)
+    needed = stored(found.select("win", "size", "width", "prefix.h", "prefix.offset"), "prefixes")
+    prefixes = needed.select("width", "h").distinct()
+    hits = reduce(DataFrame.unionByName, [_hits(docs, b, widths, window) for b in _blocks(prefixes, block)])
     start = F.col("at") - F.col("offset")
     fits = (start >= 0) & (start + F.col("size") <= F.col("n_words"))
     met = hits.join(needed, ["width", "h"]).filter(fits)
@@ -95,6 +136,13 @@ def occurrences(
     return places.join(windows.select("win", "item_id").distinct(), "win").select("doc_id", "start", "size", "item_id")
 
 
+def _blocks(shingles: DataFrame, block: int) -> list[DataFrame]:
+    """The shingles (width, h), stored, in as many parts by hash as bring each to about ``block`` rows."""
+    kept = stored(shingles, "wanted")
+    blocks = max(1, -(-kept.count() // block))
+    return [kept.filter(F.pmod(F.col("h"), F.lit(blocks)) == b) for b in range(blocks)]
+
+
 def _covered(spans: Column) -> Column:
     """Words that lie in at least one of the sorted (start, size) spans."""
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 
 import pytest
@@ -137,6 +138,32 @@ def test_decontamination_of_empty_tables_and_clashing_names(spark, docs, no_docs
     assert kept.count() == contamination.clean(docs, bench).count() < docs.count()
 
 
+def test_decontamination_across_the_pieces_of_long_texts(spark, monkeypatch):
+    """Windows that start at every place relative to a piece's border, against plain Python, with tiny pieces too."""
+    item = [f"i{k}" for k in range(13)]
+    texts = [" ".join([f"x{k}" for k in range(lead)] + item + [f"y{k}" for k in range(150)]) for lead in range(140)]
+    texts += [" ".join(item[:11] * 30), " ".join(item[1:10]), "i0 i1 i2 short"]
+    items = [(1, " ".join(item)), (2, "short"), (3, "x3 x4 x5"), (4, "y148 y149")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    for piece in (contamination.PIECE, 3):
+        monkeypatch.setattr(contamination, "PIECE", piece)
+        for r in as_dicts(contamination.contaminated(docs, bench)):
+            assert (r["n_words"], r["n_hit"], r["item_ids"]) == contaminated(texts[r["doc_id"]], items), piece
+
+
+def test_decontamination_takes_time_by_length(spark):
+    """A text of nearly 5 MB; copying the text for each of its words would take the better part of an hour."""
+    item = " ".join(f"item{k}" for k in range(12))
+    text = " ".join(f"word{k * k % 99_991}" for k in range(500_000)) + " " + item
+    docs = spark.createDataFrame([(1, text), (2, "none"), (3, None)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    began = time.monotonic()
+    found = {r["doc_id"]: (r["n_words"], r["n_hit"]) for r in as_dicts(contamination.contaminated(docs, bench))}
+    assert found == {1: (500_012, 12), 2: (1, 0), 3: (0, 0)}
+    assert len(text) > 4_500_000 and time.monotonic() - began < 120
+
+
 # Secrets
 
 ASSIGN = re.compile(

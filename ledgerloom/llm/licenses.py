@@ -18,8 +18,8 @@ CONTAINMENT = 0.8
 # 1 - (1 - 0.5 ** ROWS) ** BANDS = 0.999, one that shares 0.78, as the best placed window of a verbatim copy does,
 # with 1 - 2e-10
 BANDS, ROWS = 24, 2
-# Templates are a list in the code or a table of its size; more shingles than this are refused
-MOST_SHINGLES = 200_000
+# Template shingles that one pass over the documents looks for; a larger table of templates takes more passes
+BLOCK = 200_000
 
 # License notices as they stand in texts
 TEMPLATES = {
@@ -96,6 +96,7 @@ def find(
     key: str = "doc_id",
     containment: float = CONTAINMENT,
     shingle: int = SHINGLE,
+    block: int = BLOCK,
 ) -> DataFrame:
     """(doc_id, license, containment, start): the licenses in each document, one row per document and license.
 
@@ -105,27 +106,29 @@ def find(
     for shorter templates) found in the window and one step around it, the best of a document's windows; ``start`` is
     where that window begins, in words from 0.
 
+    Templates are a table of any size: their shingles are broadcast in blocks of about ``block``, one pass over the
+    documents each, and windows that several passes find count once. The result does not depend on ``block``.
+
     Documents without a license have no row, so neither have null and empty texts; repeated rows count as one
     document, different texts under one key, or none, as several. Templates that are null or without words match nothing.
     """
     spark = docs.sparkSession
     known = _templates(templates if templates is not None else template_table(spark), shingle)
     known = stored(known, "license-templates")
-    size = known.agg(F.coalesce(F.sum(F.size("shingles")), F.lit(0))).first()[0]
-    if size > MOST_SHINGLES:
-        raise ValueError(f"templates have {size} shingles, more than {MOST_SHINGLES}")
     widths = sorted(r[0] for r in known.select("width").distinct().collect())
     narrow = pick(docs, doc_id=key, text=text)
     narrow = narrow.withColumn("doc_id", row_identity(F.col("doc_id"), F.col("text")))
     if not widths:
         return narrow.limit(0).select(F.col("doc_id.key").alias("doc_id"), F.lit("").alias("license"), F.lit(0.0).alias("containment"),
                                       F.lit(0).alias("start"))
-    wanted = known.select("width", "m", "step", F.explode("shingles").alias("h")).distinct()
+    wanted = stored(known.select("width", "m", "step", F.explode("shingles").alias("h")).distinct(), "template-shingles")
+    blocks = max(1, -(-wanted.count() // block))
 
-    def windows(width: int) -> DataFrame:
+    def windows(width: int, part: int) -> DataFrame:
         every = narrow.select("doc_id", let(plain_words(F.col("text")), lambda w: _shingles(w, width)).alias("all"))
         each = every.select("doc_id", "all", F.posexplode("all").alias("at", "h"))
-        met = each.join(F.broadcast(wanted.filter(F.col("width") == width)), "h")
+        chosen = wanted.filter((F.col("width") == width) & (F.pmod(F.xxhash64("h", "m"), F.lit(blocks)) == part))
+        met = each.join(F.broadcast(chosen), "h")
         first = F.greatest(F.lit(0), F.ceil((F.col("at") - F.col("m") + 1) / F.col("step")).cast("int"))
         last = F.floor(F.col("at") / F.col("step")).cast("int")
         placed = met.select("doc_id", "all", "width", "m", "step", F.explode(F.sequence(first, last)).alias("k"))
@@ -137,10 +140,11 @@ def find(
             F.slice("all", start - before + 1, F.col("m") + before + F.col("step")).alias("around"),
         )
 
-    signed = reduce(DataFrame.unionByName, [windows(w) for w in widths]).dropDuplicates(["doc_id", "width", "m", "start"])
+    passes = [windows(w, part) for w in widths for part in range(blocks)]
+    signed = reduce(DataFrame.unionByName, passes).dropDuplicates(["doc_id", "width", "m", "start"])
     banded = signed.select("doc_id", "width", "m", "start", "around", F.inline(_bands(F.col("inside"))))
     targets = known.select("license", "width", "m", "shingles", F.inline(_bands(F.col("shingles"))))
-    candidates = banded.join(F.broadcast(targets), ["width", "m", "band", "value"])
+    candidates = banded.join(F.broadcast(targets) if blocks == 1 else targets, ["width", "m", "band", "value"])
     shared = F.size(F.array_intersect("shingles", "around")) / F.size("shingles")
     judged = candidates.select("doc_id", "license", "start", shared.alias("containment")).filter(
         F.col("containment") >= containment

@@ -264,6 +264,31 @@ def test_licenses(spark, docs, no_docs, clashing):
     assert licenses.find(docs, none).count() == 0
 
 
+def test_licenses_in_blocks(spark):
+    """Templates beyond a block take more passes and give the same rows; a brute-force containment test agrees."""
+    rng = random.Random(8)
+    templates = {f"L{i:02}": " ".join(f"t{i}x{rng.randrange(60)}" for _ in range(rng.choice([3, 7, 30, 90]))) for i in range(25)}
+    texts = [f"{sentence(rng, 20)} {templates[f'L{i:02}']} {sentence(rng, 9)} {templates['L03']}" for i in range(25)]
+    texts += [sentence(rng, 50), templates["L07"].rsplit(" ", 1)[0]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    table = spark.createDataFrame(list(templates.items()), "license string, text string")
+    keys = lambda found: sorted((r["doc_id"], r["license"], r["containment"], r["start"]) for r in as_dicts(found))
+    whole, parted = keys(licenses.find(docs, table)), keys(licenses.find(docs, table, block=300))
+    assert whole == parted
+
+    def shingles(text, width):
+        w = plain_words(text)
+        return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
+
+    expected = set()
+    for doc, text in enumerate(texts):
+        for name, body in templates.items():
+            own = shingles(body, min(5, len(plain_words(body))))
+            if len(own & shingles(text, min(5, len(plain_words(body))))) >= 0.8 * len(own):
+                expected.add((doc, name))
+    assert {k[:2] for k in whole} == expected and len(expected) >= 49
+
+
 # Mixing
 
 

@@ -1,6 +1,7 @@
 """Quality rules, decontamination, secrets, licenses, mixing, toxicity against plain Python on small texts."""
 
 import hashlib
+import math
 import random
 import re
 import time
@@ -224,6 +225,52 @@ def test_secrets_behind_names(spark):
     assert not any(found[i] for i in range(len(hidden), len(texts)))
 
 
+def random_tokens(texts):
+    """The random spans by plain Python: letter shares, the three tests, and the false-discovery rule over all tokens."""
+    chars = secrets.ALPHABETS[-1][1]
+    plain = "".join(re.sub(r"[A-Za-z0-9+/_-]{20,}", " ", t) for t in texts)
+    counts = {c: plain.count(c) + 1 for c in chars}
+    natural = {c: math.log(n / sum(counts.values())) for c, n in counts.items()}
+
+    def tested(core):
+        alphabet = next((a for _, a in secrets.ALPHABETS if set(core) <= set(a)), chars)
+        v, n, k = [alphabet.index(c) for c in core], len(core), len(alphabet)
+        squares = sum(v.count(x) ** 2 for x in set(v))
+        uniform = (squares * k / n - n - (k - 1)) / math.sqrt(2 * (k - 1) * (1 - 1 / n))
+        high = [2 * x >= k for x in v]
+        n1, turns = sum(high), 1 + sum(a != b for a, b in zip(high, high[1:]))
+        mean = 2 * n1 * (n - n1) / n + 1
+        runs = (turns - mean) / math.sqrt(max((mean - 1) * (mean - 2) / (n - 1), 1e-9))
+        mid = sum(v) / n
+        power = sum((x - mid) ** 2 for x in v)
+        serial = (sum((a - mid) * (b - mid) for a, b in zip(v, v[1:])) / power if power else 1.0) * math.sqrt(n)
+        return n, (uniform, abs(runs), abs(serial)), -n * math.log(k) - sum(natural[c] for c in core)
+
+    found = [m[0] for t in texts for m in re.finditer(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}", t)]
+    found = [(t, *tested(t.rstrip("="))) for t in found if re.search("[0-9]", t) and re.search("[A-Za-z]", t)]
+    mean = sum(f[1] for f in found) / len(found)
+    bins = [max(0, math.floor((f[3] + math.log(f[1] / mean)) * 4)) for f in found]
+    passing = [b for b in bins if math.exp(-b / 4) <= 0.01 * sum(x >= b for x in bins) / len(bins)]
+    return [f[0] for f, b in zip(found, bins) if max(f[2]) <= 3 and passing and b >= min(passing)]
+
+
+def test_random_secrets_equal_brute_force(spark):
+    """Short random tokens are found however many there are beside the ordinary ones, which are left alone."""
+    rng = random.Random(12)
+    base62 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    hidden = ["".join(rng.choices(chars, k=k)) for chars, k in [(base62, 20), (base62, 24), (base62 + "+/", 40),
+              ("0123456789abcdef", 24)] for _ in range(100)]
+    ordinary = [f"{sentence(rng, 2).replace(' ', '-')}-with-many-parts-{k}-and-more" for k in range(60)]
+    ordinary += [f"getTheValueOfItem{k}ByItsName" for k in range(20)] + ["ab12" * 9, "a" * 30 + "1", "x1" + "aeiou" * 6]
+    texts = [f"Some Words, before {t} and {k} after; {sentence(rng, 30)}" for k, t in enumerate(hidden + ordinary)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = [s["token"] for r in as_dicts(secrets.scan(docs)) for s in r["spans"] if s["rank"] == 3]
+    assert sorted(found) == sorted(random_tokens(texts))
+    for kind in range(4):
+        assert sum(t in found for t in hidden[kind * 100 : kind * 100 + 100]) >= 90
+    assert not set(found) & set(ordinary)
+
+
 def test_secrets_of_odd_tables(docs, no_docs, clashing, rows):
     assert secrets.scan(no_docs).count() == 0
     assert secrets.scan(docs).count() == len(rows)

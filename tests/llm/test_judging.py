@@ -72,6 +72,26 @@ def test_quality_keeps_columns_that_clash(clashing, docs, labels):
     assert {r["kept"] for r in kept.select("kept").collect()} == {"x"}
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_quality_trusts_every_text_labelled_as_good(spark, monkeypatch, few):
+    """Ratios are those of all trusted texts, however many, whether their ids are copied to the tasks or shuffled."""
+    if not few:
+        monkeypatch.setattr(rules, "BROADCAST_IDS", 100)
+    n = 30_000
+    texts = spark.range(n).selectExpr("id AS doc_id", "if(id % 3 = 0, 'aa bb', 'cc dd') AS text")
+    good = spark.range(n - 1000).selectExpr("id AS doc_id", "1 AS quality")
+    found = rules.log_ratios(texts, rules.trusted_ids(good), 50).first()[0]
+    counts, trusted = [0] * 50, [0] * 50
+    grams = {r["text"]: r["g"] for r in texts.groupBy("text").agg(F.first("doc_id")).select(
+        "text", rules.edge_grams(F.split("text", " "), 50).alias("g")).collect()}
+    for i in range(n):
+        for g in grams["cc dd" if i % 3 else "aa bb"]:
+            counts[g] += 1
+            trusted[g] += i < n - 1000
+    scale = sum(counts) / sum(trusted)
+    assert found == pytest.approx([math.log((t * scale + 1) / (c + 1)) for t, c in zip(trusted, counts)])
+
+
 def test_repeated_words_cover_overlaps(spark):
     texts = ["a b c d e f g h " * 3, "a " * 40, "x " + "a b c d e f g h i " * 2 + "y", "a b c d e f g a b c d e f g"]
     frame = spark.createDataFrame([(t,) for t in texts], "text string")

@@ -53,3 +53,22 @@ def test_labels_meet_every_table(spark, name):
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
+
+
+def test_queries_limit_generated_methods(spark):
+    """A session that was built without ``configure`` compiles wide projections too, once a query has been made in it."""
+    name = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "65535")
+        entry.queries()["fin_caps"](spark, SF_DIR)
+        assert spark.conf.get(name) == "8000"
+    finally:
+        spark.conf.set(name, before)
+
+
+@pytest.mark.parametrize("name", ["gold_click", "gold_fin"])
+def test_gold_tables_cast_raw_text_once(spark, name):
+    """Silver that is read twice is stored first, so neither read goes back to the raw table."""
+    files = entry.queries()[name](spark, SF_DIR).inputFiles()
+    assert files and not any("events" in f or "orders" in f for f in files)

@@ -406,6 +406,72 @@ def test_near_lines_of_the_documents(spark):
     assert len(missed) <= 0.1 * len(similar)
 
 
+def test_edits_all_along_a_line_are_found(spark):
+    """As many edits as a similarity of 0.8 allows, as evenly spread as they can be, in lines of 4 to 60 words."""
+    rng = random.Random(29)
+    word = lambda: f"w{rng.randint(0, 10**6)}"
+    texts = []
+    for n in range(4, 61):
+        base = [word() for _ in range(n)]
+        for kind in ("replaced", "left out"):
+            # every fifth word goes, or as many as the longer line allows
+            out = set(range(2, n, 5)) if n > 4 else set()
+            out = set(sorted(out)[: int(n * 0.2 + 1e-9)])
+            words = [word() if i in out else w for i, w in enumerate(base) if kind == "replaced" or i not in out]
+            texts += [" ".join(base), " ".join(words)] if out else [" ".join(base), " ".join([*base, word()])]
+            base = [word() for _ in range(n)]
+    rows = list(enumerate(texts))
+    gone, links = line_rows(rows)
+    assert links == len(texts) // 2 == sum(gone.values())
+    found = lines.repeated_lines(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.n_removed for r in found.collect()} == {k: gone[k] for k, _ in rows}
+
+
+def test_all_near_lines_of_the_documents(spark):
+    """Groups are exactly those of all similar pairs, lines of four words and more."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").filter(F.col("text").isNotNull())
+    table = docs.select("doc_id", "text")
+    place, words_of = {}, {}
+    for r in sorted(table.collect(), key=lambda r: r.doc_id):
+        for i, line in enumerate(r.text.split("\n")):
+            parted = regex.sub(lines.UNSPACED, r" \1 ", line)
+            words = tuple(w for w in re.split(r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+", parted.lower()) if w)
+            if len(words) >= 4:
+                words_of.setdefault(words, len(words_of))
+                place[r.doc_id, i] = words
+    root = {w: w for w in words_of}
+
+    def find(w):
+        while root[w] != w:
+            w = root[w]
+        return w
+
+    for a, b in similar_pairs(list(words_of)):
+        x, y = sorted((find(a), find(b)), key=words_of.get)
+        root[y] = x
+    first = {}
+    for at, words in place.items():
+        first.setdefault(find(words), at)
+    expected = {at for at, words in place.items() if first[find(words)] != at}
+    found = {(r.doc_id, i) for r in lines.repeated_lines(table).collect() for i in r.removed}
+    assert found & set(place) == expected
+
+
+def test_blocks_of_bits_and_words(spark):
+    """Fingerprints two bits apart share a choice of blocks; similar lines a pair of words."""
+    rng = random.Random(4)
+    prints = [rng.getrandbits(64) for _ in range(50)]
+    near = [p ^ sum(1 << b for b in rng.sample(range(64), 2)) for p in prints]
+    signed = lambda p: p - (1 << 64) if p >> 63 else p
+    table = spark.createDataFrame([(signed(a), signed(b)) for a, b in zip(prints, near)], "a long, b long")
+    for r in table.select(lines.bit_blocks(F.col("a")).alias("a"), lines.bit_blocks(F.col("b")).alias("b")).collect():
+        assert len(set(r.a)) == 6 and set(r.a) & set(r.b) and max(r.a) < 0
+    texts = spark.createDataFrame([("a b c d".split(), "a b x c d".split()), ("a b c".split(), [])], "a array<string>, b array<string>")
+    rows = texts.select(lines.pair_blocks(F.col("a")).alias("a"), lines.pair_blocks(F.col("b")).alias("b")).collect()
+    assert len(rows[0].a) == 2 and len(rows[0].b) == 3 and set(rows[0].a) & set(rows[0].b) and min(rows[0].a) >= 0
+    assert rows[1].a == rows[1].b == []
+
+
 def test_common_ends_do_not_change_distances(spark):
     rows = [("abcdef", "abxdef"), ("aaaa", "aaa"), ("", "abc"), ("abc", "abc"), ("xabc", "abc"), ("abcabc", "abc"), ("ab", "ba")]
     table = spark.createDataFrame(rows, "x string, y string")

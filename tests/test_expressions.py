@@ -138,3 +138,25 @@ def test_larger_arrears_never_label_lower(either_ansi):
 def test_ints_without_leading_digits(either_ansi, column):
     values = [".5", "-.5", ".", "+.", "12.7", " 3. ", "1.2.3", "x.5", "..", "9999999999.5"]
     assert column(values, casting.to_int("v")) == [0, 0, 0, 0, 12, 3, None, None, None, None]
+
+
+def test_casts_are_left_out_only_where_they_fail(either_ansi, column):
+    """The texts on which no cast is tried are those that the cast makes null."""
+    values = ["7", "+7", " 7", "7 ", "\t7\n", "\x017", "\x7f7", "\x7f7\x7f", "\u00e97", "n/a", "a", "1a", "_", "1_", "_1", "7_\n", "", " "]
+    values += ["NaN", " nan ", "Infinity", "-inf", "1d", "2f", "0x1p3", "1e5", ".5", "5.", "1_000.5", "__1__", "-", ":", "~", None]
+    whole = [v if v is None or "." not in v else "" for v in values]
+    assert column(whole, casting.to_int("v")) == column(whole, F.expr("try_cast(v AS INT)"))
+    same = [str(x) for x in column(values, F.expr("try_cast(v AS DOUBLE)"))]
+    assert [str(x) for x in column(values, casting.to_double("v"))] == same
+    plain = [str(x) for x in column(values, F.expr("try_cast(regexp_replace(v, '_$', '') AS DOUBLE)"))]
+    assert [str(x) for x in column(values, casting.to_double("v", drop_suffix=True))] == plain
+    assert column(values, F.expr(casting.without_suffix("v"))) == column(values, F.expr("regexp_replace(v, '_$', '')"))
+
+
+def test_a_text_that_is_no_number_costs_no_failed_cast(spark):
+    """A cast is behind a test of the text, in every branch that gives one."""
+    df = spark.createDataFrame([("1",)], "v string")
+    for made in (casting.to_int("v"), casting.to_double("v"), casting.to_double("v", True), casting.to_float("v")):
+        plan = df.select(made)._jdf.queryExecution().analyzed().toString()
+        assert "Contains" in plan or "contains(" in plan.lower(), plan
+        assert "coalesce(" not in plan, plan

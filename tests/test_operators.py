@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerloom.operators import lookup, quality
 from ledgerloom.operators.categories import group_rare
-from ledgerloom.operators.dedup import first_per_key
+from ledgerloom.operators.dedup import first_per_key, with_hash
 from ledgerloom.operators.months import missing_months, months_between
 from ledgerloom.operators.statistics import clip_sigma, impute_mean, moments
 
@@ -194,3 +194,24 @@ def test_scratch_is_never_on_one_machine_of_a_cluster(spark, monkeypatch):
 
     with pytest.raises(RuntimeError, match="one machine"):
         scratch.shared_root(Session)
+
+
+def test_rows_are_sorted_by_a_number_before_their_keys(spark):
+    """Texts that begin alike take long to compare, so the hash of the keys leads in windows and joins."""
+    df = spark.range(50).selectExpr("concat('CUS_00000', id % 7) AS k", "id % 3 AS d", "id AS v")
+    plan = first_per_key(df, ["k", "d"])._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [_hash#" in line for line in sorts), plan
+    assert first_per_key(df, ["k", "d"]).columns == ["k", "d", "v"]
+
+
+def test_a_join_by_hash_finds_what_a_plain_one_finds(spark):
+    left = spark.createDataFrame([("a", 1), ("a", 2), (None, 1), ("b", None), ("c", 3)], "k string, d int")
+    right = spark.createDataFrame([("a", 1, 10), (None, 1, 11), ("b", None, 12), ("c", 3, 13)], "k string, d int, v int")
+    counts = lookup.KeyCounts.of(left, ["k", "d"])
+    plain = rows(left.join(right, ["k", "d"], "left"))
+    for other in (right, right.withColumn("d", F.col("d").cast("bigint"))):
+        hashed = with_hash(other, ["k", "d"])
+        for most in (1000, 1):
+            joined = lookup.left_join_unique(left, hashed, counts, salt_by=["k", "d"], most=most)
+            assert joined.columns == ["k", "d", "v"] and rows(joined) == plain

@@ -1,5 +1,6 @@
 """Chunks, suffixes, SimHash and lines against plain Python on small texts."""
 
+import os
 import hashlib
 import random
 import re
@@ -472,6 +473,37 @@ def test_blocks_of_bits_and_words(spark):
     assert rows[1].a == rows[1].b == []
 
 
+def test_common_passages_make_no_blocks_of_words(spark):
+    """Pairs of rare words come first, however short these are, so lines that share a passage of long words do not meet."""
+    rng = random.Random(8)
+    common = "everything considered notwithstanding circumstances throughout".split()
+    texts = [" ".join([f"x{rng.randint(0, 10**6)}" for _ in range(20)] + common) for _ in range(200)]
+    table = lines.line_table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert lines.word_blocks(table.select("h1", "size", "sig")).count() <= 10
+
+
+def test_lines_leave_no_large_results_behind(spark):
+    """Signatures and blocks are removed as soon as nothing reads them, and the session's setting is put back."""
+    from ledgerloom.sources import scratch
+
+    texts = [" ".join(f"w{j}" if j != i else "other" for j in range(40)) for i in range(30)]
+    before, setting = set(os.listdir(scratch_path(spark))), spark.conf.get(scratch._CLEANUP)
+    found = lines.repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert found.agg(F.sum("n_removed")).first()[0] == 29
+    left = {name.rsplit("-", 1)[0] for name in set(os.listdir(scratch_path(spark))) - before}
+    assert "removed-lines" in left
+    assert not left & {"lines", "distinct-lines", "word-blocks", "simhash-blocks", "block-centres", "parted-blocks"}
+    assert spark.conf.get(scratch._CLEANUP) == setting
+
+
+def scratch_path(spark):
+    from ledgerloom.sources import scratch
+
+    path = scratch._run_folder(spark).removeprefix("file:")
+    os.makedirs(path, exist_ok=True)
+    return path
+
+
 def test_common_ends_do_not_change_distances(spark):
     rows = [("abcdef", "abxdef"), ("aaaa", "aaa"), ("", "abc"), ("abc", "abc"), ("xabc", "abc"), ("abcabc", "abc"), ("ab", "ba")]
     table = spark.createDataFrame(rows, "x string, y string")

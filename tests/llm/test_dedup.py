@@ -1,7 +1,7 @@
 """Chunks, suffixes, SimHash and lines against plain Python on small texts."""
 
-import os
 import hashlib
+import os
 import random
 import re
 from collections import Counter

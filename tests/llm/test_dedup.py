@@ -496,6 +496,28 @@ def test_lines_leave_no_large_results_behind(spark):
     assert spark.conf.get(scratch._CLEANUP) == setting
 
 
+def test_unlike_lines_of_a_block_are_not_written_as_pairs(spark, monkeypatch):
+    """Lines that share a pair of words and nothing else are told apart where they meet; near ones are still found."""
+    rows, real = {}, lines.stored
+
+    def counted(frame, name):
+        result = real(frame, name)
+        rows[name] = rows.get(name, 0) + result.count()
+        return result
+
+    monkeypatch.setattr(lines, "stored", counted)
+    rng = random.Random(12)
+    word = lambda: f"x{rng.randint(0, 10**9)}"
+    for lines_each in (2, lines._SMALL_BLOCK + 3):
+        shared = [[word(), word()] for _ in range(40)]
+        texts = [" ".join([word() for _ in range(9)] + pair + [word() for _ in range(9)]) for pair in shared for _ in range(lines_each)]
+        texts.append(" ".join([*texts[0].split()[:-1], "other"]))
+        found = lines.repeated_lines(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+        assert [r.doc_id for r in found.filter("n_removed > 0").collect()] == [len(texts) - 1]
+        assert rows["first-pairs"] <= 3 and rows["more-pairs"] <= 3
+        rows.clear()
+
+
 def scratch_path(spark):
     from ledgerloom.sources import scratch
 
